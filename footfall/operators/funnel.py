@@ -112,26 +112,6 @@ def funnel_contained(
     return _step_rows(counts, steps, grid)
 
 
-def funnel_windowed(events: DataFrame, size: str = "10 minutes") -> DataFrame:
-    """Event counts of the ad path per tumbling window, rates to impressions. Batch or stream.
-
-    A window without any of the four events gives no row.
-    """
-    steps = AD_STEPS
-    counted = (
-        events.filter(F.col("event_type").isin(*[kind for _, kind in steps]))
-        .groupBy(F.window("event_time", size))
-        .agg(*[count_where(is_type(kind)).alias(name) for name, kind in steps])
-    )
-    rates = [percent(F.col(n), F.col("impression")).alias(f"{n}_rate") for n, _ in steps[1:]]
-    return counted.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        *[n for n, _ in steps],
-        *rates,
-    )
-
-
 def ordered_reach(
     dwd: DataFrame, keys: Sequence[str], steps: Steps, within: str = "1 day", bin_size: str = "10 minutes"
 ) -> DataFrame:

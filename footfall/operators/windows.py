@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from footfall.functions.expressions import app_name, count_where, interval_micros, is_type, window_label
+from footfall.functions.expressions import app_name, count_where, interval_micros, is_type, percent, window_label
+from footfall.operators.clean import only_types
 from footfall.operators.daily import ALL
+from footfall.operators.funnel import AD_STEPS
 
 ALERT_MESSAGE = "下载量异常下降！"
 SURGE_MESSAGE = "下载量异常上升！"
@@ -20,6 +22,15 @@ def _bounds() -> list[Column]:
     return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
+def _of_types(events: DataFrame, *types: str) -> DataFrame:
+    """Batch: only these types reach the aggregation. Stream: all rows do.
+
+    Spark moves a filter below the watermark, which then stands still between two
+    downloads; on streams other rows are therefore counted as 0 and dropped afterwards.
+    """
+    return events if events.isStreaming else only_types(events, types)
+
+
 def pv_uv_windowed(events: DataFrame, size: str = "5 minutes", slide: str | None = None) -> DataFrame:
     """Events and exact distinct users per window; nulls are not visitors.
 
@@ -46,16 +57,34 @@ def pv_uv_approx(events: DataFrame, size: str, slide: str | None = None, rsd: fl
 
 def download_stats(events: DataFrame, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Downloads per app and sliding window; ``unknown`` when the app cannot be read."""
+    download = is_type("app_download")
     pieces = (
-        events.filter(is_type("app_download"))
-        .groupBy(F.window("event_time", slide), app_name().alias("app_name"))
-        .agg(F.count("*").alias("n"))
+        _of_types(events, "app_download")
+        .groupBy(F.window("event_time", slide), F.when(download, app_name()).alias("app_name"))
+        .agg(count_where(download).alias("n"))
+        .filter("n > 0")
     )
     whole = F.window(F.window_time("window"), size, slide).alias("window")
     per_window = pieces.groupBy(whole, "app_name").agg(F.sum("n").alias("download_count"))
     return per_window.select(*_bounds(), "app_name", "download_count")
 
 
+def funnel_windowed(events: DataFrame, size: str = "10 minutes") -> DataFrame:
+    """Event counts of the ad path per tumbling window, rates to impressions. Batch or stream.
+
+    A window without any of the four events gives no row.
+    """
+    names = [name for name, _ in AD_STEPS]
+    counted = (
+        _of_types(events, *[kind for _, kind in AD_STEPS])
+        .groupBy(F.window("event_time", size))
+        .agg(*[count_where(is_type(kind)).alias(name) for name, kind in AD_STEPS])
+        .filter(" + ".join(names) + " > 0")
+    )
+    rates = [percent(F.col(n), F.col("impression")).alias(f"{n}_rate") for n in names[1:]]
+    return counted.select(*_bounds(), *names, *rates)
+
+
 def download_ranking(
     events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", top: int = 10
 ) -> DataFrame:
@@ -68,10 +97,12 @@ def download_ranking(
 def download_counts(events: DataFrame, size: str = "5 minutes", dimension: Column | None = None) -> DataFrame:
     """Downloads per window that has any, over all or per ``dimension``. Batch or stream."""
     value = F.lit(ALL) if dimension is None else dimension
+    download = is_type("app_download")
     counts = (
-        events.filter(is_type("app_download"))
-        .groupBy(F.window("event_time", size), value.alias("dimension_value"))
-        .agg(F.count("*").alias("current_count"))
+        _of_types(events, "app_download")
+        .groupBy(F.window("event_time", size), F.when(download, value).alias("dimension_value"))
+        .agg(count_where(download).alias("current_count"))
+        .filter("current_count > 0")
     )
     return counts.select(*_bounds(), "dimension_value", "current_count")
 

@@ -225,7 +225,7 @@ def queries() -> dict[str, Query]:
         "funnel_steps_of_days": on(lambda e: funnel.funnel_steps(e, ["2024-01-02", DAY, "2024-03-01"])),
         "funnel_contained": on(funnel.funnel_contained),
         "funnel_ordered": on(lambda e: funnel.funnel_ordered(e, within="6 hours")),
-        "funnel_windowed": on(funnel.funnel_windowed),
+        "funnel_windowed": on(windows.funnel_windowed),
         "app_conversion": on(funnel.app_conversion),
         # Profiles
         "user_profile": on(profile.user_profile),
@@ -282,7 +282,7 @@ def queries() -> dict[str, Query]:
         "stream_clean": _stream_clean,
         "stream_pv_uv": stream(windows.pv_uv_windowed),
         "stream_downloads": stream(windows.download_stats),
-        "stream_funnel": stream(funnel.funnel_windowed),
+        "stream_funnel": stream(windows.funnel_windowed),
         "stream_sessions": stream(sessions.session_windows),
         "stream_anomaly": stream(lambda e: anomaly.stream_anomaly(e, "6 hours")),
         "stream_followed": _stream_followed,

@@ -140,14 +140,14 @@ def split_late(events: DataFrame, path: str, checkpoint: str, delay: str = WATER
     return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
 
 
-def followed_within(first: DataFrame, then: DataFrame, within: str, delay: str = WATERMARK) -> DataFrame:
+def followed_within(first: DataFrame, then: DataFrame, within: str) -> DataFrame:
     """Stream-stream interval join: rows of ``first`` whose user has a row of ``then`` at most ``within`` later.
 
-    A semi-join: each row comes out once, however many rows follow, and no pairs are made.
-    Both inputs need ``user_id`` and ``event_time``.
+    A semi-join: each row comes out once, however many rows follow, and no pairs are
+    made. Both inputs carry a watermark on ``event_time``, which bounds the state.
     """
-    a = with_event_time(first, delay).alias("a")
-    b = with_event_time(then.select("user_id", "event_time"), delay).alias("b")
+    a = first.alias("a")
+    b = then.select("user_id", "event_time").alias("b")
     on = F.expr(
         "a.user_id = b.user_id and b.event_time > a.event_time "
         f"and b.event_time <= a.event_time + interval {within}"
