@@ -144,9 +144,9 @@ def _decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = messages.withColumn(
         "value", F.when(F.col("key") == "error", F.concat(F.lit("{"), F.col("value"))).otherwise(F.col("value"))
     )
-    good, rejects = event_source.decode_events(broken)
-    kinds = good.select(F.col("event_type").alias("kind")).unionByName(rejects.select(F.lit("rejected").alias("kind")))
-    return kinds.groupBy("kind").agg(F.count("*").alias("messages"))
+    parsed = event_source.parse_messages(broken)
+    kind = F.when(F.col("is_rejected"), "rejected").otherwise(F.col("e.event_type"))
+    return parsed.groupBy(kind.alias("kind")).agg(F.count("*").alias("messages"))
 
 
 def _summing_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

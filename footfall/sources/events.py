@@ -28,20 +28,24 @@ def with_defaults(events: DataFrame) -> DataFrame:
     return events.fillna(DEFAULTS)
 
 
-def decode_events(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """JSON messages to ``(events, rejects)``; batch or stream.
+def parse_messages(messages: DataFrame, column: str = "value") -> DataFrame:
+    """JSON messages to ``(raw, is_rejected, e)``, ``e`` holding the event's fields; batch or stream.
 
-    Unknown fields are ignored. A message that is no JSON object goes to the rejects,
-    with its text, instead of failing the job.
+    Unknown fields are ignored. A message that is no JSON object is rejected instead
+    of failing the job.
     """
     text = F.col(column).cast("string")
-    parsed = messages.select(
-        text.alias("raw"),
-        F.from_json(text, _DECODE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("e"),
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = messages.select(text.alias("raw"), F.from_json(text, _DECODE_SCHEMA, options).alias("e"))
     bad = F.col("raw").isNull() | F.col(f"e.{_CORRUPT}").isNotNull()
-    good = parsed.filter(~bad).select(*[f"e.{name}" for name in WIRE_EVENT.fieldNames()])
-    return with_defaults(parse_times(good)), parsed.filter(bad).select("raw")
+    return parsed.select("raw", bad.alias("is_rejected"), "e")
+
+
+def decode_events(messages: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """JSON messages to ``(events, rejects)``; the rejects keep their text."""
+    parsed = parse_messages(messages, column)
+    good = parsed.filter(~F.col("is_rejected")).select(*[f"e.{name}" for name in WIRE_EVENT.fieldNames()])
+    return with_defaults(parse_times(good)), parsed.filter("is_rejected").select("raw")
 
 
 def read_event_messages(
