@@ -63,7 +63,9 @@ def experiment_events(dwd: DataFrame, day: Day | None = None) -> DataFrame:
 def user_totals(dwd: DataFrame, day: Day | None = None) -> DataFrame:
     """One row per day, experiment, group and user. Every metric and sample is built from it.
 
-    This is the only pass over the events; sums are partial before its shuffle.
+    This is the only pass over the events; sums are partial before its shuffle. Metrics
+    and samples use the same columns of it, so a job that needs both shuffles once.
+    Clean rows have a duration (0 when it was missing).
     """
     time = F.col("event_time")
     position = F.when(is_type("app_click"), json_field("position").cast("int"))
@@ -77,7 +79,6 @@ def user_totals(dwd: DataFrame, day: Day | None = None) -> DataFrame:
             count_where(is_type("app_click")).alias("clicks"),
             count_where(is_type("page_view")).alias("views"),
             F.sum(F.when(is_type("page_view"), F.col("duration").cast("bigint"))).alias("view_ms"),
-            F.count(F.when(is_type("page_view"), F.col("duration"))).alias("timed_views"),
             F.sum(position.cast("bigint")).alias("position_sum"),
             F.count(position).alias("positions"),
             F.min(F.when(is_type("search_query"), time)).alias("first_search"),
@@ -114,7 +115,7 @@ def ab_metrics(dwd: DataFrame, day: Day | None = None, extra: bool = False) -> D
         count_where(searched).alias("searchers"),
         count_where(c("views") > 0).alias("viewers"),
         F.sum("view_ms").alias("view_ms"),
-        F.sum("timed_views").alias("timed_views"),
+        F.sum("views").alias("views"),
         count_where(c("clicks") > 0).alias("clickers"),
         count_where(searched & (c("first_search") < c("last_download"))).alias("search_downloaders"),
         F.sum("position_sum").alias("position_sum"),
@@ -128,10 +129,10 @@ def ab_metrics(dwd: DataFrame, day: Day | None = None, extra: bool = False) -> D
         _metric("search_count", c("searches"), "次", c("searchers"), c("searches") > 0),
         _metric(
             "avg_duration",
-            half_up(F.try_divide(c("view_ms").cast("double"), c("timed_views")), 0),
+            half_up(F.try_divide(c("view_ms").cast("double"), c("views")), 0),
             "ms",
             c("viewers"),
-            c("timed_views") > 0,
+            c("views") > 0,
         ),
     ]
     if extra:
@@ -191,13 +192,13 @@ def ab_samples(dwd: DataFrame, day: Day | None = None) -> DataFrame:
     """One value per user and metric: all users, those without such events counting 0."""
     c = F.col
     value = lambda name, v: F.struct(F.lit(name).alias("metric_name"), v.cast("double").alias("value"))
-    mean = F.try_divide(c("view_ms").cast("double"), c("timed_views"))
+    mean = F.try_divide(c("view_ms").cast("double"), c("views"))
     rows = F.array(
         value("pv", c("events")),
         value("download_count", c("downloads")),
         value("search_count", c("searches")),
         value("download_conversion_rate", (c("downloads") > 0).cast("int")),
-        F.when(c("timed_views") > 0, value("avg_duration", mean)),
+        F.when(c("views") > 0, value("avg_duration", mean)),
     )
     return user_totals(dwd, day).select(*KEYS, "user_id", F.inline(F.array_compact(rows)))
 
