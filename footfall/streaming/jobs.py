@@ -73,10 +73,10 @@ def run_available(stream: DataFrame, purpose: str) -> DataFrame:
 def incremental_daily(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Keep per-day counts current as rows arrive: a running aggregate whose touched days are overwritten.
 
-    Users are counted in two steps so that the state is one row per user and day.
+    The state is one row per user and day. Days are windows, so the watermark drops
+    the state of days that can no longer change.
     """
-    day = F.to_date("event_time").alias("stat_date")
-    users = events.groupBy(day, "user_id").agg(
+    users = events.groupBy(F.window("event_time", "1 day"), "user_id").agg(
         F.count("*").alias("events"),
         F.count(F.when(F.col("event_type") == "app_download", 1)).alias("downloads"),
         F.count(F.when(F.col("event_type") == "search_query", 1)).alias("searches"),
@@ -84,7 +84,8 @@ def incremental_daily(events: DataFrame, path: str, checkpoint: str, **trigger)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # The changed users of this batch, one small file set per batch; reruns overwrite their own.
-        rows = batch.withColumns({"dt": F.date_format("stat_date", "yyyy-MM-dd"), "batch": F.lit(batch_id)})
+        rows = batch.withColumn("stat_date", F.to_date("window.start")).drop("window")
+        rows = rows.withColumns({"dt": F.date_format("stat_date", "yyyy-MM-dd"), "batch": F.lit(batch_id)})
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "dt", "batch"
         ).parquet(path)
