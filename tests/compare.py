@@ -20,20 +20,19 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+def text(value) -> str:
+    if value is None or value is pd.NaT or value != value:
+        return "null"
+    if isinstance(value, float):
+        return repr(value)
+    return str(value).removesuffix(" 00:00:00")
+
+
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     """Columns by name, values as text, rows in order."""
-    out = pd.DataFrame()
-    for name in sorted(frame.columns):
-        column = frame[name]
-        if pd.api.types.is_datetime64_any_dtype(column):
-            out[name] = column.astype("datetime64[us]").astype(str)
-        else:
-            out[name] = [
-                "null" if v is None or v != v else repr(float(v)) if isinstance(v, float) else str(v)[:19] if hasattr(v, "year") else str(v)
-                for v in column.tolist()
-            ]
-            out[name] = out[name].str.removesuffix(" 00:00:00") if column.dtype == object else out[name]
-    return out.sort_values(list(out.columns)).reset_index(drop=True) if len(out.columns) else out
+    names = sorted(frame.columns)
+    rows = sorted(tuple(text(v) for v in row) for row in frame[names].astype(object).itertuples(index=False))
+    return pd.DataFrame(rows, columns=names, dtype=object)
 
 
 def kinds(frame: pd.DataFrame) -> dict[str, str]:
@@ -46,9 +45,6 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
     a, b = canonical(got), canonical(want)
-    for day in (a, b):
-        for c in day.columns:
-            day[c] = day[c].str.removesuffix(" 00:00:00")
     if not a.equals(b):
         wrong = [c for c in a.columns if not a[c].equals(b[c])]
         rows = a.index[(a != b).any(axis=1)]
