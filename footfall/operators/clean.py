@@ -34,13 +34,12 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "city": or_unknown("city"),
-            "device_model": or_unknown("device_model"),
-            "duration": F.coalesce(F.col("duration"), F.lit(0)),
-        }
-    )
+    filled = {
+        "city": or_unknown("city"),
+        "device_model": or_unknown("device_model"),
+        "duration": F.coalesce(F.col("duration"), F.lit(0)),
+    }
+    return df.withColumns({c: v for c, v in filled.items() if c in df.columns})
 
 
 def parse_times(df: DataFrame) -> DataFrame:
@@ -49,8 +48,18 @@ def parse_times(df: DataFrame) -> DataFrame:
     return df.withColumns({c: parse_time(c) for c in texts}) if texts else df
 
 
-def ods_to_dwd(ods: DataFrame) -> DataFrame:
-    """De-duplicate, then validate: an event whose newest copy is illegal is dropped whole."""
+CHECKED = ("event_id", "event_type", "user_id", "event_time", "server_time")
+
+
+def ods_to_dwd(ods: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """De-duplicate, then validate: an event whose newest copy is illegal is dropped whole.
+
+    With ``columns`` the result holds these and the checked ones, and nothing else is
+    read or shuffled: for analyses straight on the raw log. Copies with equal times are
+    then told apart by the columns kept.
+    """
+    if columns is not None:
+        ods = ods.select(*[c for c in ods.columns if c in CHECKED or c in columns])
     newest = dedup_latest(parse_times(ods), ["event_id"], "server_time")
     return fill_defaults(newest.filter(valid_user() & valid_event_type()))
 

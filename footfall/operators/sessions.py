@@ -66,8 +66,9 @@ def sessionize(df: DataFrame, gap: str = "30 minutes") -> DataFrame:
     starts = _bins(df, gap).select(
         "user_id", F.col("bin").alias("_bin"), session_key(F.col("user_id"), F.col("session_start")).alias("_id")
     )
+    columns = list(dict.fromkeys([*df.columns, "session_id"]))
     rows = df.withColumn("_bin", _bin(gap))
-    return rows.join(starts, ["user_id", "_bin"], "left").withColumn("session_id", F.col("_id")).select(*df.columns)
+    return rows.join(starts, ["user_id", "_bin"], "left").withColumn("session_id", F.col("_id")).select(*columns)
 
 
 def session_windows(events: DataFrame, gap: str = "30 minutes") -> DataFrame:

@@ -52,12 +52,23 @@ DEVICE_TIERS = [
 ]
 
 
+# Columns the operators read besides user, type and time.
+TRAFFIC = ("city", "device_model", "duration")
+CELLS = ("city", "device_model", "app_version")
+GROUPS = ("experiment_id", "variant", "duration", "properties")
+
+
 def dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.ods_to_dwd(ods(spark, sf_dir))
 
 
-def _on_dwd(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(dwd(spark, sf_dir))
+def detail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Clean events with only what a query reads: the rest never reaches the shuffle."""
+    return clean.ods_to_dwd(ods(spark, sf_dir), columns)
+
+
+def _on_detail(build: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    return lambda spark, sf_dir: build(detail(spark, sf_dir, *columns))
 
 
 def _on_stream(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -74,7 +85,7 @@ def _city_from_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiers = spark.createDataFrame(DEVICE_TIERS, "device_model string, device_tier string")
-    return profile.user_preferences(dwd(spark, sf_dir), tiers)
+    return profile.user_preferences(detail(spark, sf_dir, "device_model", "properties"), tiers)
 
 
 def _new_users_of_day(events: DataFrame) -> DataFrame:
@@ -87,7 +98,7 @@ def _user_number() -> F.Column:
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return experiment.ab_samples(dwd(spark, sf_dir))
+    return experiment.ab_samples(detail(spark, sf_dir, *GROUPS))
 
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,13 +123,13 @@ def _welch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tested_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = dwd(spark, sf_dir)
+    events = detail(spark, sf_dir, *GROUPS)
     tests = significance.ab_significance(experiment.ab_samples(events))
     return significance.apply_significance(experiment.ab_experiment(events), tests)
 
 
 def _hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = experiment.ab_experiment(dwd(spark, sf_dir), extra=True)
+    results = experiment.ab_experiment(detail(spark, sf_dir, *GROUPS), extra=True)
     return experiment.hypothesis_met(results, experiments_df(spark))
 
 
@@ -152,7 +163,7 @@ def _decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _summing_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two partial loads of every day collapse to one row per day and type."""
     parts = (
-        dwd(spark, sf_dir)
+        detail(spark, sf_dir, "city")
         .groupBy(
             F.to_date("event_time").alias("stat_date"), "event_type", F.pmod(F.hour("event_time"), F.lit(2)).alias("part")
         )
@@ -178,7 +189,7 @@ def _stream_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    on, stream = _on_dwd, _on_stream
+    on, stream = _on_detail, _on_stream
     return {
         # Cleaning and tables
         "dwd_clean": dwd,
@@ -193,17 +204,18 @@ def queries() -> dict[str, Query]:
         "jsonl_events": _jsonl_events,
         "decoded_events": _decoded_events,
         # Summaries
-        "daily_summary": on(daily.daily_summary),
-        "daily_summary_by_type": on(lambda e: daily.daily_summary(e, by_type=True)),
-        "hourly_summary": on(daily.hourly_summary),
+        "daily_summary": on(daily.daily_summary, *TRAFFIC),
+        "daily_summary_by_type": on(lambda e: daily.daily_summary(e, by_type=True), *TRAFFIC),
+        "hourly_summary": on(daily.hourly_summary, *TRAFFIC),
         "new_users": on(daily.new_users),
         "new_users_of_day": on(_new_users_of_day),
         "top_city_per_day": on(
-            lambda e: daily.top_value(e.withColumn("stat_date", F.to_date("event_time")), ["stat_date"], "city")
+            lambda e: daily.top_value(e.withColumn("stat_date", F.to_date("event_time")), ["stat_date"], "city"),
+            "city",
         ),
-        "drill_down_cube": on(lambda e: daily.drill_down(e, ["city", "device_model", "app_version"])),
-        "drill_down_rollup": on(lambda e: daily.drill_down(e, ["city", "app_version"], how="rollup")),
-        "city_distribution": on(daily.city_distribution),
+        "drill_down_cube": on(lambda e: daily.drill_down(e, ["city", "device_model", "app_version"]), *CELLS),
+        "drill_down_rollup": on(lambda e: daily.drill_down(e, ["city", "app_version"], how="rollup"), *CELLS),
+        "city_distribution": on(daily.city_distribution, "city"),
         "uv_approx": on(daily.uv_approx),
         "uv_hll_weekly": on(
             lambda e: daily.uv_from_sketches(
@@ -226,21 +238,21 @@ def queries() -> dict[str, Query]:
         "funnel_contained": on(funnel.funnel_contained),
         "funnel_ordered": on(lambda e: funnel.funnel_ordered(e, within="6 hours")),
         "funnel_windowed": on(windows.funnel_windowed),
-        "app_conversion": on(funnel.app_conversion),
+        "app_conversion": on(funnel.app_conversion, "properties"),
         # Profiles
-        "user_profile": on(profile.user_profile),
-        "profile_report": on(lambda e: profile.profile_report(profile.user_profile(e))),
+        "user_profile": on(profile.user_profile, "device_model"),
+        "profile_report": on(lambda e: profile.profile_report(profile.user_profile(e)), "device_model"),
         "user_preferences": _preferences,
         # Experiments
-        "ab_assignment": lambda s, d: experiment.assign_all(dwd(s, d).select("user_id").distinct()),
+        "ab_assignment": lambda s, d: experiment.assign_all(detail(s, d).select("user_id").distinct()),
         "ab_event_assignment": lambda s, d: experiment.assign_experiment(
-            dwd(s, d).select("event_id", "user_id")
+            detail(s, d).select("event_id", "user_id")
         ),
-        "ab_metrics": on(experiment.ab_metrics),
-        "ab_extra_metrics": on(lambda e: experiment.ab_metrics(e, extra=True)),
-        "ab_uplift": on(experiment.ab_experiment),
+        "ab_metrics": on(experiment.ab_metrics, *GROUPS),
+        "ab_extra_metrics": on(lambda e: experiment.ab_metrics(e, extra=True), *GROUPS),
+        "ab_uplift": on(experiment.ab_experiment, *GROUPS),
         "ab_samples": _samples,
-        "ab_pivot": on(lambda e: experiment.ab_pivot(experiment.ab_experiment(e))),
+        "ab_pivot": on(lambda e: experiment.ab_pivot(experiment.ab_experiment(e)), *GROUPS),
         "ab_hypothesis": _hypotheses,
         "ab_ztest": lambda s, d: _rounded(significance.z_test(_stats(s, d)), ["z", "p_value"]),
         "ab_fisher": lambda s, d: _rounded(
@@ -257,9 +269,9 @@ def queries() -> dict[str, Query]:
         # Windows, sessions and alerts
         "pv_uv_5m": on(windows.pv_uv_windowed),
         "pv_uv_sliding": on(lambda e: windows.pv_uv_windowed(e, "5 minutes", "30 seconds")),
-        "downloads_sliding": on(windows.download_stats),
-        "download_ranking": on(lambda e: windows.download_ranking(e, "6 hours", "1 hour", 5)),
-        "realtime_metrics": on(windows.realtime_metrics),
+        "downloads_sliding": on(windows.download_stats, "properties"),
+        "download_ranking": on(lambda e: windows.download_ranking(e, "6 hours", "1 hour", 5), "properties"),
+        "realtime_metrics": on(windows.realtime_metrics, "city", "device_model", "properties"),
         "metric_rows": on(
             lambda e: metrics.to_metric_rows(windows.pv_uv_windowed(e, "1 hour"), ["pv", "uv"], "1 hour")
         ),
@@ -275,7 +287,8 @@ def queries() -> dict[str, Query]:
         ),
         "download_anomaly": on(lambda e: windows.download_anomaly(e, "6 hours")),
         "download_surge_per_app": on(
-            lambda e: windows.download_anomaly(e, "1 day", threshold_up=0.8, dimension=app_name())
+            lambda e: windows.download_anomaly(e, "1 day", threshold_up=0.8, dimension=app_name()),
+            "properties",
         ),
         "anomaly_3down": on(lambda e: windows.declining_runs(e, "1 hour", total=-0.6)),
         # Streams, run over all there is
@@ -287,16 +300,18 @@ def queries() -> dict[str, Query]:
         "stream_anomaly": stream(lambda e: anomaly.stream_anomaly(e, "6 hours")),
         "stream_followed": _stream_followed,
         # Reports
-        "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF)),
-        "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY)),
+        "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF), "properties"),
+        "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY), "properties"),
         "sample_users": on(lambda e: ranking.sample_users(e, 50, seed=7)),
         "kpi_snapshot": on(lambda e: reports.kpi_snapshot(e, NOW, minutes=60)),
         "daily_trend": on(
             lambda e: reports.daily_trend(
                 daily.daily_summary(clean.last_days(e, "2024-01-20"), approx_new=True), "2024-01-20"
-            )
+            ),
+            *TRAFFIC,
         ),
         "hourly_trend": on(
-            lambda e: reports.hourly_trend(daily.hourly_summary(clean.last_days(e, NOW[:10], 1)), NOW)
+            lambda e: reports.hourly_trend(daily.hourly_summary(clean.last_days(e, NOW[:10], 1)), NOW),
+            *TRAFFIC,
         ),
     }

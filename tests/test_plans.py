@@ -32,7 +32,7 @@ def test_no_pairs_and_no_python_over_events(spark, name):
 
 
 def test_copies_are_dropped_before_the_shuffle(spark):
-    plan = plan_of(catalog.dwd(spark, SF))
+    plan = plan_of(catalog.detail(spark, SF))
     shuffle = plan.index("Exchange hashpartitioning(event_id")
     assert plan.index("Partial", shuffle) > shuffle
 
@@ -58,3 +58,10 @@ def test_metrics_and_tests_share_one_pass(spark):
     df = catalog.queries()["ab_tested_results"](spark, SF)
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+def test_unused_columns_are_not_shuffled(spark):
+    plan = plan_of(catalog.queries()["retention_ndays"](spark, SF))
+    scan = plan[plan.rindex("ReadSchema") :]
+    assert "value" not in scan.split(">")[0]
+    assert "AS properties" not in plan and "md5" not in plan
