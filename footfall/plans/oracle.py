@@ -253,7 +253,7 @@ _APP = "coalesce(json_extract_string(properties, '$.app_name'), 'unknown')"
 def _downloads(size: int, step: int, source: str = "dwd", where: str = "true") -> str:
     return (
         f"select window_start, {_end(size)}, {_APP} as app_name, count(*) as download_count "
-        f"from ({_slide(size, step, source, 'event_type = ' + chr(39) + 'app_download' + chr(39))}) "
+        f"from ({_slide(size, step, source, "event_type = 'app_download'")}) "
         f"where {where} group by window_start, app_name"
     )
 
@@ -432,7 +432,8 @@ def oracle_sql() -> dict[str, str]:
         "select "
         + ", ".join(f"case when grouping({c}) = 1 then 'all' else {c} end as {c}" for c in dims)
         + f", cast(grouping({', '.join(dims)}) as int) as level, count(*) as pv, count(distinct user_id) as uv, "
-        + f"{_n(chr(101) + 'vent_type=' + repr('app_download'))} as download_count from dwd group by {sets}({', '.join(dims)})"
+        + _n("event_type='app_download'")
+        + f" as download_count from dwd group by {sets}({', '.join(dims)})"
     )
     top = lambda where, name: (
         f"select {name} as app_name, count(*) as download_count from dwd where event_type = 'app_download' "
@@ -574,10 +575,10 @@ on r.experiment_id = g.e and r.metric_name = g.m where variant = 'B'""",
             **_results(extra=True),
         ),
         "ab_ztest": _q(
-            f"""select {_PAIR}, n_a, n_b, {half_up('z')} as z, {half_up('p')} as p_value
+            f"""select {_PAIR}, n_a, n_b, {half_up('z', 6)} as z, {half_up('p', 6)} as p_value
 from (select *, case when se > 0 then {_normal_p('z')} else 1.0 end as p
       from (select *, case when se > 0 then abs(mean_a - mean_b) / se end as z
-            from (select *, sqrt(var_a / n_a + var_b / n_b) as se from enough)))""".replace("100.0", "1000000.0"),
+            from (select *, sqrt(var_a / n_a + var_b / n_b) as se from enough)))""",
             **_TESTS,
         ),
         "ab_fisher": _q(
