@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, exact_dedup, packing, pii, quality_rules
+from footfall.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules
 from footfall.llm.common import read_documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -29,6 +29,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read_documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -41,7 +45,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-QUERIES = (op1_exact_dedup, op2_pii, op8_packing, op9_quality_rules, op10_bpe)
+QUERIES = (op1_exact_dedup, op2_pii, op6_jaccard_join, op8_packing, op9_quality_rules, op10_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
