@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules
+from footfall.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, suffix_dedup
 from footfall.llm.common import read_documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -29,6 +29,18 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.suffix_array_dedup(read_documents(spark, sf_dir))
+    n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return removed.select(
+        "doc_id",
+        "n_bytes",
+        n_removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(read_documents(spark, sf_dir))
 
@@ -45,7 +57,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-QUERIES = (op1_exact_dedup, op2_pii, op6_jaccard_join, op8_packing, op9_quality_rules, op10_bpe)
+QUERIES = (op1_exact_dedup, op2_pii, op5_suffix_array_dedup, op6_jaccard_join, op8_packing, op9_quality_rules, op10_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
