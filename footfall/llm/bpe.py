@@ -222,10 +222,24 @@ class Lexicon:
 
     def _look_up(self, texts: list[str | None]) -> list[list]:
         split = [self.codec.split(text or "") for text in texts]
-        met = set().union(*split)
+        self._learn(set().union(*split))
+        return [[*map(self.known.__getitem__, words)] for words in split]
+
+    def learn(self, texts: list[str]) -> None:
+        """Learns the words of many texts at a time."""
+        for at in range(0, len(texts), 500):
+            self._learn(set().union(*map(self.codec.split, texts[at : at + 500])))
+
+    def entries(self, words: list[str]) -> list:
+        self._learn(set(words))
+        return [*map(self.known.__getitem__, words)]
+
+    def _learn(self, met: set[str]) -> None:
         if len(self.known) > MEMORY:
             self.known = {word: self.known[word] for word in met.intersection(self.known)}
         fresh = list(met.difference(self.known))
+        if not fresh:
+            return
         words = [w for w in fresh if not isinstance(w, Added)]
         tokens, _ = self.codec.encode_words([w.encode() for w in words])
         of = self.codec.bytes_of
@@ -235,7 +249,6 @@ class Lexicon:
             if isinstance(word, Added):
                 i = self.codec.added[str(word)]
                 self.known[word] = self.entry([i], of[i])
-        return [[*map(self.known.__getitem__, words)] for words in split]
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, suffix_dedup
-from footfall.llm.common import read_documents
+from footfall.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, sentence_dedup, suffix_dedup, token_counts
+from footfall.llm.common import map_columns, read_documents
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -29,6 +29,17 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentence_dedup.sentence_span_dedup(read_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_sentences",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = suffix_dedup.suffix_array_dedup(read_documents(spark, sf_dir))
     n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
@@ -45,6 +56,44 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(read_documents(spark, sf_dir))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents before and after two cleaning steps: personal data becomes a mark, and
+    lines that an earlier line of the document repeats go."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    edited = token_counts.edited_counts(cleaning_edits(docs), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return edited.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "chars_reencoded", F.sha2("text", 256).alias("text_sha256"))
+
+
+def cleaning_edits(docs: DataFrame) -> DataFrame:
+    """doc_id, text, edits, which do not overlap: spans in a line that goes are not edited by themselves."""
+
+    def start():
+        return lambda ids, texts: (ids, texts, [line_and_span_edits(text or "") for text in texts])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_columns(docs.select("doc_id", "text"), f"doc_id {kind}, text string, edits {token_counts.EDITS}", start)
+
+
+def line_and_span_edits(text: str) -> list[dict]:
+    edits, seen, at = [], set(), 0
+    for line in text.split("\n"):
+        end = at + len(line)
+        if line.strip() and line in seen:
+            edits.append({"start": at - 1, "end": end, "text": ""})
+        seen.add(line)
+        at = end + 1
+    marks, until = [], 0
+    gone = iter(edits)
+    line = next(gone, None)
+    for span in pii.find_spans(text):
+        while line and line["end"] <= span.start:
+            line = next(gone, None)
+        if span.start >= until and not (line and line["start"] < span.end):
+            marks.append({"start": span.start, "end": span.end, "text": f"[{span.kind.upper()}]"})
+            until = span.end
+    return sorted(edits + marks, key=lambda edit: edit["start"])
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -57,7 +106,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-QUERIES = (op1_exact_dedup, op2_pii, op5_suffix_array_dedup, op6_jaccard_join, op8_packing, op9_quality_rules, op10_bpe)
+QUERIES = (op1_exact_dedup, op2_pii, op4_sentence_dedup, op5_suffix_array_dedup, op6_jaccard_join, op7_token_counts, op8_packing, op9_quality_rules, op10_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
