@@ -186,6 +186,16 @@ def jaccard_join(
     return found.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
+def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, with all their columns.
+
+    Rows without an id are linked with none and stay.
+    """
+    found = jaccard_join(docs, n, percent)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
+    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+
+
 def _cells(met: DataFrame) -> DataFrame:
     """cell, doc_id, n_shingles: each part's rows in the cell of the part's hub."""
     score = written(met.groupBy("doc_id").agg(F.sum("n").alias("score")), "jaccard-scores")

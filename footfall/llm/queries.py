@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, sentence_dedup, suffix_dedup, token_counts
+from footfall.llm import bpe, exact_dedup, jaccard_join, kneser_ney, packing, pii, quality_rules, sentence_dedup, suffix_dedup, token_counts
 from footfall.llm.common import map_columns, read_documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -29,6 +29,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return kneser_ney.quality_classifier(read_documents(spark, sf_dir), labels)
+
+
 def op4_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentence_dedup.sentence_span_dedup(read_documents(spark, sf_dir))
     return found.select(
@@ -106,7 +111,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-QUERIES = (op1_exact_dedup, op2_pii, op4_sentence_dedup, op5_suffix_array_dedup, op6_jaccard_join, op7_token_counts, op8_packing, op9_quality_rules, op10_bpe)
+QUERIES = (op1_exact_dedup, op2_pii, op3_quality_classifier, op4_sentence_dedup, op5_suffix_array_dedup, op6_jaccard_join, op7_token_counts, op8_packing, op9_quality_rules, op10_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
