@@ -60,9 +60,7 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     Rows that repeat id and text become one. Rows of different texts may share an id: the digest is
     part of the join.
     """
-    keep = (
-        exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
-    )
-    sha = F.sha2(normalised("text"), 256)
-    matched = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (sha == F.col("kept_sha")), "left_semi")
+    keep = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    same = docs["doc_id"].eqNullSafe(keep["kept_id"]) & (F.sha2(normalised("text"), 256) == keep["kept_sha"])
+    matched = docs.join(keep, same, "left_semi")
     return matched.dropDuplicates(["doc_id", "text"])

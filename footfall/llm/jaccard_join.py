@@ -105,7 +105,7 @@ def part_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
         dealt = grams
         for seed in range(SEEDS):
             if seed:
-                dealt = np.sort(_mixed(grams + np.uint64(seed) * _M1))
+                dealt = np.sort(_mixed(grams + np.uint64(seed * int(_M1) % 2**64)))
             cuts = np.concatenate(([0], np.searchsorted(dealt, edges), [len(dealt)]))
             full = np.flatnonzero(cuts[1:] > cuts[:-1])
             sums = np.add.reduceat(_mixed(dealt * _M1 + _M3), cuts[full])
@@ -193,7 +193,7 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     """
     found = jaccard_join(docs, n, percent)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def _cells(met: DataFrame) -> DataFrame:
