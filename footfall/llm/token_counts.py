@@ -149,9 +149,10 @@ def edited_counts(
             for doc_id, text, edits in zip(ids, texts, all_edits):
                 tree = built(text or "", words)
                 before, read = tree.total, tree.encoded
-                ordered = sorted(enumerate(edits or ()), key=lambda e: (e[1]["start"], e[1]["end"], e[0]), reverse=True)
-                for _, edit in ordered:  # from the back, so that places ahead stay what they are
-                    tree.edit(edit["start"], edit["end"], edit["text"] or "", words)
+                most = len(text or "")
+                places = [(min(e["start"], most), min(e["end"], most), i, e["text"] or "") for i, e in enumerate(edits or ())]
+                for first, last, _, new in sorted(places, reverse=True):  # from the back, so that places ahead stay what they are
+                    tree.edit(first, last, new, words)
                 rows.append((doc_id, before, len(edits or ()), tree.total, tree.encoded - read, "".join(tree.leaves)))
             return zip(*rows) if rows else [[]] * 6
 
