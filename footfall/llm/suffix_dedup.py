@@ -14,9 +14,10 @@ from footfall.llm.common import arrow_schema, map_columns, record_batch, text_of
 from footfall.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 #: Bytes of text that one suffix array is made for, about.
-SHARD_BYTES = 500_000
-#: An anchor with more stretches than this is counted by strings instead.
-ANCHOR_STRETCHES = 200
+SHARD_BYTES = 700_000
+#: Bytes of text under one anchor that still go into one suffix array, which takes some eighty times
+#: as much memory; beyond that an anchor's strings are counted one by one.
+ANCHOR_BYTES = 4_000_000
 #: Starts that a document's anchors are sought for at a time.
 CHUNK = 4_000_000
 
@@ -100,21 +101,21 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     3. A stretch that is the only one of its content, with an anchor that others have, may repeat in
        part. These, with one stretch of each repeated content beside them, are dealt into shards by
        anchor. A shard's suffix array has equal strings side by side.
-    4. An anchor of very many different stretches would not fit a shard. Its strings are counted as
-       such, by a digest that merges in the map tasks.
+    4. An anchor whose stretches would not fit a task has its strings counted as such, by a digest
+       that merges in the map tasks.
     """
     found = written(_found_stretches(docs, length), "stretches")
     place = F.struct("row_id", "at", "size")
     content = found.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     content = written(content, "stretch-contents")
-    anchors = content.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum("n").alias("stretches"), F.sum((F.col("n") == 1).cast("int")).alias("single"))
+    anchors = content.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum((F.col("n") == 1).cast("int")).alias("single"), F.sum("place.size").alias("bytes"))
     anchors = written(anchors.filter("contents > 1 and single > 0"), "stretch-anchors")
 
     repeated = written(content.filter("n > 1").select("anchor", "content"), "stretch-repeated")
     whole = found.join(repeated, ["anchor", "content"]).select("row_id", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
 
-    open_ = content.join(anchors.select("anchor", "contents"), "anchor").select(
-        F.col("place.row_id").alias("row_id"), F.struct(F.col("place.at").alias("at"), F.col("place.size").alias("size"), "anchor", (F.col("n") > 1).alias("known"), (F.col("contents") > ANCHOR_STRETCHES).alias("hot")).alias("s")
+    open_ = content.join(anchors.select("anchor", "bytes"), "anchor").select(
+        F.col("place.row_id").alias("row_id"), F.struct(F.col("place.at").alias("at"), F.col("place.size").alias("size"), "anchor", (F.col("n") > 1).alias("known"), (F.col("bytes") > ANCHOR_BYTES).alias("hot")).alias("s")
     )
     needed = written(open_.groupBy("row_id").agg(F.collect_list("s").alias("wanted")), "stretch-wanted")
     bytes_ = written(_cut(docs.join(needed, "row_id")), "stretch-bytes")
