@@ -72,19 +72,23 @@ class Bpe:
         self.pair_keys = keys[by]
         self.pair_ranks = np.array([r for r, _ in self.rank.values()], dtype=np.int64)[by]
         self.size = size
-        self.longest: dict[bytes, int] = {}
-        for token in self.id_of:
-            self.longest[token[:2]] = max(self.longest.get(token[:2], 0), len(token))
+        self.merged = [whole for _, whole in self.rank.values()]
+        self.rank_of = {pair: rank for pair, (rank, _) in self.rank.items()}
+        #: What tokens begin with: the token's id, or -1 if it is none by itself.
+        self.begins = {token[:n]: -1 for token in self.id_of for n in range(1, len(token))} | self.id_of
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        ids, at, n = [], 0, len(word)
+        ids, at, n, begins = [], 0, len(word), self.begins.get
         while at < n:
-            length = min(self.longest.get(word[at : at + 2], 1), n - at)
-            while length > 1 and word[at : at + length] not in self.id_of:
-                length -= 1
-            ids.append(self.id_of[word[at : at + length]])
-            at += length
+            end = at + 1
+            found, best = begins(word[at:end]), end
+            while end < n and (i := begins(word[at : end + 1])) is not None:
+                end += 1
+                if i >= 0:
+                    found, best = i, end
+            ids.append(found)
+            at = best
         return ids
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -127,13 +131,12 @@ class Bpe:
         return self._merge_short(ids) if len(ids) <= 64 else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        none = (len(self.rank), 0)
-        get = self.rank.get
+        none, get = len(self.merged), self.rank_of.get
         ranks = [get(pair, none) for pair in zip(ids, ids[1:])]
-        while ranks and (least := min(ranks)) is not none:
+        while ranks and (least := min(ranks)) < none:
             i = ranks.index(least)
-            ids[i : i + 2] = [least[1]]
-            del ranks[i]
+            ids[i] = self.merged[least]
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
                 ranks[i] = get((ids[i], ids[i + 1]), none)
             if i:
@@ -217,18 +220,15 @@ class Lexicon:
 
     def look_up(self, texts: list[str | None]) -> Iterator[list]:
         """The entries of the words of each text, in order."""
-        for at in range(0, len(texts), 500):
-            yield from self._look_up(texts[at : at + 500])
-
-    def _look_up(self, texts: list[str | None]) -> list[list]:
-        split = [self.codec.split(text or "") for text in texts]
-        self._learn(set().union(*split))
-        return [[*map(self.known.__getitem__, words)] for words in split]
+        return (entries for _, entries in self.words(texts))
 
-    def learn(self, texts: list[str]) -> None:
-        """Learns the words of many texts at a time."""
+    def words(self, texts: list[str | None]) -> Iterator[tuple[list[str], list]]:
+        """The words of each text and their entries; learns the words of many texts at a time."""
         for at in range(0, len(texts), 500):
-            self._learn(set().union(*map(self.codec.split, texts[at : at + 500])))
+            split = [self.codec.split(text or "") for text in texts[at : at + 500]]
+            self._learn(set().union(*split))
+            for words in split:
+                yield words, [*map(self.known.__getitem__, words)]
 
     def entries(self, words: list[str]) -> list:
         self._learn(set(words))

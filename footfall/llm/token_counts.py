@@ -35,18 +35,20 @@ class TokenTree:
     encoded: int = 0
 
     @classmethod
-    def build(cls, leaves: list[str], tokens: list[int]) -> TokenTree:
-        size = 1 << max(0, (len(leaves) - 1).bit_length())
-        trees = []
-        for values in (tokens, map(len, leaves)):
-            tree = np.zeros(2 * size, dtype=np.int64)
-            tree[size : size + len(leaves)] = list(values)
-            level = size
-            while level > 1:
-                tree[level // 2 : level] = tree[level : 2 * level].reshape(-1, 2).sum(axis=1)
-                level //= 2
-            trees.append(tree)
-        return cls(*trees, leaves=leaves)
+    def build(cls, text: str, words: list[str], tokens: list[int]) -> TokenTree:
+        """The tree of a text from its words and their numbers of tokens, LEAF_WORDS words to a leaf."""
+        n = max(1, -(-len(words) // LEAF_WORDS))
+        size = 1 << (n - 1).bit_length()
+        trees = np.zeros((2, 2 * size), dtype=np.int64)
+        if words:
+            numbers = np.array((tokens, [*map(len, words)]), dtype=np.int64)
+            trees[:, size : size + n] = np.add.reduceat(numbers, np.arange(0, len(words), LEAF_WORDS), axis=1)
+        level = size
+        while level > 1:
+            np.add(trees[:, level : 2 * level : 2], trees[:, level + 1 : 2 * level : 2], out=trees[:, level // 2 : level])
+            level //= 2
+        ends = np.cumsum(trees[1, size : size + n]).tolist()
+        return cls(trees[0], trees[1], [text[a:b] for a, b in zip([0, *ends], ends)], len(text))
 
     @property
     def total(self) -> int:
@@ -121,11 +123,7 @@ def ends_at(split: list[str], length: int) -> int | None:
 
 def built(text: str, words: Lexicon) -> TokenTree:
     split = words.codec.split(text)
-    counts = words.entries(split)
-    cuts = range(0, len(split), LEAF_WORDS)
-    tree = TokenTree.build(["".join(split[i : i + LEAF_WORDS]) for i in cuts] or [""], [sum(counts[i : i + LEAF_WORDS]) for i in cuts] or [0])
-    tree.encoded = len(text)
-    return tree
+    return TokenTree.build(text, split, words.entries(split))
 
 
 def edited_counts(
@@ -145,9 +143,8 @@ def edited_counts(
 
         def step(ids, texts, all_edits):
             rows = []
-            words.learn([text or "" for text in texts])
-            for doc_id, text, edits in zip(ids, texts, all_edits):
-                tree = built(text or "", words)
+            for doc_id, text, edits, (split, counts) in zip(ids, texts, all_edits, words.words(texts)):
+                tree = TokenTree.build(text or "", split, counts)
                 before, read = tree.total, tree.encoded
                 most = len(text or "")
                 places = [(min(e["start"], most), min(e["end"], most), i, e["text"] or "") for i, e in enumerate(edits or ())]

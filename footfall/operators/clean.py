@@ -23,11 +23,17 @@ Day = dt.date | str
 def dedup_latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """One row per ``keys``: the newest ``version``; ties fall to the other columns, so reruns agree.
 
+    The checked columns come first among these, whatever others ``df`` has: a copy's user, type and
+    day do not depend on what else a query reads. Rows with a null key are no copies of each other
+    and fall out; the cleaning report counts them.
+
     Catalyst turns ``row_number() = 1`` into a group limit on both sides of the
     shuffle: each task sends at most one row per key, so a key with a third of
     all rows costs its receiver one row per sender.
     """
+    df = df.dropna(subset=list(keys))
     rest = [c for c in df.columns if c not in keys and c != version]
+    rest.sort(key=lambda c: CHECKED.index(c) if c in CHECKED else len(CHECKED))
     order = [F.col(version).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in rest]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
@@ -51,13 +57,18 @@ def parse_times(df: DataFrame) -> DataFrame:
 CHECKED = ("event_id", "event_type", "user_id", "event_time", "server_time")
 
 
-def ods_to_dwd(ods: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def ods_to_dwd(
+    ods: DataFrame, columns: Sequence[str] | None = None, days: tuple[Day, Day] | None = None
+) -> DataFrame:
     """De-duplicate, then validate: an event whose newest copy is illegal is dropped whole.
 
     With ``columns`` the result holds these and the checked ones, and nothing else is
-    read or shuffled: for analyses straight on the raw log. Copies with equal times are
+    read or shuffled. With ``days`` (first, last) only these days are read, which takes the
+    copies of an event to have its event time. Both are for analyses straight on the raw log. Copies with equal times are
     then told apart by the columns kept.
     """
+    if days is not None:
+        ods = between_days(parse_times(ods), *days)
     if columns is not None:
         ods = ods.select(*[c for c in ods.columns if c in CHECKED or c in columns])
     newest = dedup_latest(parse_times(ods), ["event_id"], "server_time")
@@ -65,14 +76,11 @@ def ods_to_dwd(ods: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def cleaning_report(ods: DataFrame) -> DataFrame:
-    """Row counts in, after de-duplication, after validation and out.
-
-    The input count reads no columns, so a file source answers it from its footers.
-    """
+    """Row counts in, without an id, after de-duplication, after validation and out."""
     newest = dedup_latest(parse_times(ods), ["event_id"], "server_time")
     valid = count_where(valid_user() & valid_event_type())
     after = newest.agg(F.count("*").alias("rows_deduplicated"), valid.alias("rows_valid"), valid.alias("rows_out"))
-    before = ods.agg(F.count("*").alias("rows_in"))
+    before = ods.agg(F.count("*").alias("rows_in"), count_where(F.col("event_id").isNull()).alias("rows_without_id"))
     # Both sides are one row by construction.
     return before.join(F.broadcast(after))
 

@@ -26,20 +26,39 @@ from footfall.sources.experiments import EXPERIMENTS, experiment_structs
 KEYS = ["stat_date", "experiment_id", "variant"]
 
 
-def assign_experiment(df: DataFrame, config: Mapping[str, Mapping[str, Any]] = EXPERIMENTS, seed: int = 0) -> DataFrame:
-    """Attach one running experiment to each event, and the user's group in it.
-
-    A seeded hash of the event id replaces the random draw, so reruns agree.
+def assign_experiment(
+    df: DataFrame,
+    config: Mapping[str, Mapping[str, Any]] = EXPERIMENTS,
+    seed: int = 0,
+    time_col: str | None = None,
+) -> DataFrame:
+    """Attach one experiment to each event, and the user's group in it.
+
+    A seeded hash of the event id replaces the random draw, so reruns agree. With ``time_col``
+    an event outside the drawn experiment's dates belongs to none, nor does one without a user:
+    both read as empty.
     """
     running = experiment_structs(config)
     pick = hash_bucket(F.concat_ws("_", F.lit(str(seed)), F.col("event_id")), len(config)).cast("int")
-    chosen = df.withColumn("_e", F.get(running, pick))
-    return chosen.withColumns(
+    chosen = df.withColumn("_e", F.get(running, pick)).withColumns(
         {
             "experiment_id": F.col("_e.experiment_id"),
             "variant": assign_variant(F.col("user_id"), F.col("_e.experiment_id"), F.col("_e.a_share")),
         }
-    ).drop("_e")
+    )
+    if time_col is not None:
+        day = F.to_date(time_col)
+        dates = F.create_map(
+            *[
+                x
+                for key, e in config.items()
+                for x in (F.lit(key), F.struct(F.lit(e["start_date"]).cast("date").alias("a"), F.lit(e["end_date"]).cast("date").alias("b")))
+            ]
+        )
+        of = F.try_element_at(dates, F.col("experiment_id"))
+        on = F.coalesce(day.between(of["a"], of["b"]) & F.col("user_id").isNotNull(), F.lit(False))
+        chosen = chosen.withColumns({c: F.when(on, F.col(c)).otherwise("") for c in ("experiment_id", "variant")})
+    return chosen.drop("_e")
 
 
 def assign_all(users: DataFrame, config: Mapping[str, Mapping[str, Any]] = EXPERIMENTS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Iterable, Sequence
 
@@ -39,7 +40,7 @@ Steps = Sequence[tuple[str, str]]
 
 def _step_bits(steps: Steps) -> Column:
     bits = [F.when(is_type(kind), 1 << i).otherwise(0) for i, (_, kind) in enumerate(steps)]
-    return functools.reduce(lambda a, b: a + b, bits)
+    return functools.reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def _all_of(count: int) -> int:
@@ -113,7 +114,12 @@ def funnel_contained(
 
 
 def ordered_reach(
-    dwd: DataFrame, keys: Sequence[str], steps: Steps, within: str = "1 day", bin_size: str = "1 minute"
+    dwd: DataFrame,
+    keys: Sequence[str],
+    steps: Steps,
+    within: str = "1 day",
+    bin_size: str = "1 minute",
+    mask: Column | None = None,
 ) -> DataFrame:
     """How far each key got through ``steps`` in time order: columns ``start_1 … start_n``.
 
@@ -128,7 +134,9 @@ def ordered_reach(
       end_i_j   earliest end of a chain i … j inside the bin (for chains begun before it),
     and two summaries combine exactly, so bins lose nothing. ``bin_size`` bounds the one
     list read at a time: for users with millions of events a minute take a smaller bin.
+    ``mask`` overrides which steps an event counts as (bit k-1 for step k).
     """
+    mask = _step_bits(steps) if mask is None else mask
     n = len(steps)
     limit = interval_micros(within)
     bin_micros = interval_micros(bin_size)
@@ -138,7 +146,7 @@ def ordered_reach(
     instants = (
         dwd.filter(F.col("event_type").isin(*[kind for _, kind in steps]))
         .groupBy(*keys, F.unix_micros("event_time").alias("t"))
-        .agg(F.bit_or(_step_bits(steps)).alias("mask"))
+        .agg(F.bit_or(mask).alias("mask"))
     )
 
     def at_instant(acc: Column, x: Column) -> Column:
@@ -187,10 +195,31 @@ def funnel_ordered(
     within: str = "1 day",
     bin_size: str = "1 minute",
 ) -> DataFrame:
-    """Users per day who did step k strictly after step k-1, the whole chain inside ``within``."""
-    rows, grid = _for_days(dwd, days)
-    rows = rows.withColumn("stat_date", event_day())
-    reach = ordered_reach(rows, ["stat_date", "user_id"], steps, within, bin_size)
+    """Users per day who did step k strictly after step k-1, the whole chain inside ``within``.
+
+    The day is that of the first step; a chain may run over midnight. So an event also stands with
+    each earlier day from whose end it is less than ``within`` away, there without the first step:
+    for spans up to a day that copies the events of the first ``within`` of a day once.
+    """
+    ahead = -(-interval_micros(within) // interval_micros("1 day"))
+    wanted = None if days is None else sorted({as_date(d) for d in days})
+    read = None if wanted is None else {d + dt.timedelta(days=n) for d in wanted for n in range(ahead + 1)}
+    rows, _ = _for_days(dwd, read)
+    grid = None if wanted is None else dwd.sparkSession.createDataFrame([(d,) for d in wanted], "stat_date date")
+    since_midnight = F.unix_micros("event_time") - F.unix_micros(F.date_trunc("day", F.col("event_time")))
+    back = F.floor((interval_micros(within) - since_midnight) / interval_micros("1 day")).cast("int") + 1
+    rows = (
+        rows.filter(F.col("event_type").isin(*[kind for _, kind in steps]))
+        .withColumn("_back", F.explode(F.sequence(F.lit(0), F.greatest(back, F.lit(0)))))
+        .withColumn("stat_date", F.date_sub(event_day(), F.col("_back")))
+    )
+    if wanted is not None:
+        rows = rows.filter(F.col("stat_date").isin(*wanted))
+    bits = _step_bits(steps)
+    mask = F.when(F.col("_back") == 0, bits).otherwise(bits.bitwiseAND(~1))
+    reach = ordered_reach(rows, ["stat_date", "user_id"], steps, within, bin_size, mask)
+    first_seen = F.col("start_1").isNotNull()
+    reach = reach.filter(first_seen) if wanted is not None else reach
     counts = reach.groupBy("stat_date").agg(
         *[F.count(f"start_{k}").alias(f"c{k}") for k in range(1, len(steps) + 1)]
     )

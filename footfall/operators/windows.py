@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from footfall.operators.clean import only_types
 from footfall.operators.daily import ALL
 from footfall.operators.funnel import AD_STEPS
 
+# The texts of alerts.
 ALERT_MESSAGE = "下载量异常下降！"
 SURGE_MESSAGE = "下载量异常上升！"
 INFO_MESSAGE = "下载量正常"
@@ -31,14 +33,19 @@ def _of_types(events: DataFrame, *types: str) -> DataFrame:
     return events if events.isStreaming else only_types(events, types)
 
 
+def piece_size(size: str, slide: str | None) -> str:
+    """The widest pieces that both windows and their steps are whole numbers of."""
+    return f"{math.gcd(interval_micros(size), interval_micros(slide or size))} microseconds"
+
+
 def pv_uv_windowed(events: DataFrame, size: str = "5 minutes", slide: str | None = None) -> DataFrame:
     """Events and exact distinct users per window; nulls are not visitors.
 
     Two steps, first per user: partial sums before each shuffle, and the only exact
-    form a stream accepts. Sliding windows are built from slide-wide pieces, so a row
-    is not copied into all the windows it belongs to.
+    form a stream accepts. Sliding windows are built from pieces, so a row is not copied
+    into all the windows it belongs to.
     """
-    users = events.groupBy(F.window("event_time", slide or size), "user_id").agg(F.count("*").alias("n"))
+    users = events.groupBy(F.window("event_time", piece_size(size, slide)), "user_id").agg(F.count("*").alias("n"))
     if slide:
         whole = F.window(F.window_time("window"), size, slide).alias("window")
         users = users.groupBy(whole, "user_id").agg(F.sum("n").alias("n"))
@@ -60,7 +67,7 @@ def download_stats(events: DataFrame, size: str = "5 minutes", slide: str = "1 m
     download = is_type("app_download")
     pieces = (
         _of_types(events, "app_download")
-        .groupBy(F.window("event_time", slide), F.when(download, app_name()).alias("app_name"))
+        .groupBy(F.window("event_time", piece_size(size, slide)), F.when(download, app_name()).alias("app_name"))
         .agg(count_where(download).alias("n"))
         .filter("n > 0")
     )
@@ -189,6 +196,9 @@ def realtime_metrics(
     Each window size must be a multiple of the one before it. Users are merged per
     smallest window and cell; the longer windows are built from those pairs.
     """
+    for shorter, longer in zip(windows, windows[1:]):
+        if interval_micros(longer) % interval_micros(shorter):
+            raise ValueError(f"{longer} is no multiple of {shorter}")
     cells = F.array(
         *[F.struct(F.lit(d).alias("dimension"), DIMENSIONS[d]().alias("dimension_value")) for d in dims]
     )

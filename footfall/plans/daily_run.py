@@ -23,8 +23,9 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     """Clean the day, write it once, and compute every result from the written tables.
 
     Only the day itself is read in detail. What needs the history (new users,
-    retention, profiles) reads one row per user and day, or per user. Each result
-    replaces its own days, so a rerun leaves the same tables.
+    retention, profiles) reads one row per user, day and device of all days there are, also
+    later ones. So the days may run in any order and any number of times, and
+    leave the same tables.
     """
     day = as_date(date)
     raw = read_layer(spark, root, "ods_user_behavior_log", day, day)
@@ -32,20 +33,18 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     today = read_layer(spark, root, "dwd_user_behavior", day, day)
 
     write_layer(user_days(today), root, "dws_user_days", day)
-    history = read_layer(spark, root, "dws_user_days", None, day)
+    history = read_layer(spark, root, "dws_user_days")
+    # A row per day folder.
+    days = sorted(as_date(r.dt) for r in history.select("dt").distinct().collect())
 
-    before = read_layer(spark, root, "dim_user_first_seen", None, day - dt.timedelta(days=1))
-    new = new_users_of_day(history.filter(F.col("dt") == str(day)), before)
-    write_layer(new.withColumn("first_date", F.lit(day)), root, "dim_user_first_seen", day)
-    new_count = read_layer(spark, root, "dim_user_first_seen", day, day).agg(F.count("*").alias("new_user_count"))
-    summary = traffic_summary(today, approx_new=True).drop("new_user_count")
-    # Both sides are a single row by construction.
-    write_layer(summary.join(F.broadcast(new_count)), root, "dws_daily_metrics", day)
+    write_layer(traffic_summary(today, approx_new=True), root, "dws_daily_metrics", day)
+    settle_new_users(spark, root, [day, *[d for d in days if d > day]])
 
-    # The day completes the N-day retention of the days N before it.
+    # The day completes the N-day retention of the days N before it; later days may be there already.
     bases = [day, *[day - dt.timedelta(days=n) for n in ret_days]]
     visits = history.select("user_id", F.col("first_seen").alias("event_time"), "dt")
-    write_layer(retention(visits, bases, ret_days), root, "ads_retention")
+    reached = F.expr("date_add(first_date, cast(ret_day as int))") <= F.lit(max([day, *days]))
+    write_layer(retention(visits, bases, ret_days).filter(reached), root, "ads_retention")
 
     write_layer(funnel_steps(today, [day]), root, "ads_funnel_analysis", day)
 
@@ -53,3 +52,21 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     write_layer(results, root, "ads_ab_experiment", day)
 
     write_layer(profile_of_days(history), root, "ads_user_profile")
+
+
+def settle_new_users(spark: SparkSession, root: str, days: Sequence[dt.date]) -> None:
+    """First-seen users of ``days``, in order, and their numbers in the daily metrics.
+
+    Each day looks at the first-seen days before it. The newest day is the usual case; when an
+    older one runs again, the days behind it follow, as their new users may have been seen earlier.
+    """
+    for day in days:
+        here = read_layer(spark, root, "dws_user_days", day, day)
+        before = read_layer(spark, root, "dim_user_first_seen", None, day - dt.timedelta(days=1))
+        new = new_users_of_day(here, before)
+        write_layer(new.withColumn("first_date", F.lit(day)), root, "dim_user_first_seen", day)
+        count = read_layer(spark, root, "dim_user_first_seen", day, day).count()
+        metrics = read_layer(spark, root, "dws_daily_metrics", day, day).drop("dt")
+        # One row, held while its folder is written anew.
+        row = spark.createDataFrame(metrics.collect(), metrics.schema)
+        write_layer(row.withColumn("new_user_count", F.lit(count).cast("bigint")), root, "dws_daily_metrics", day)

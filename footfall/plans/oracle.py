@@ -443,7 +443,8 @@ def oracle_sql() -> dict[str, str]:
     out = {
         "dwd_clean": _q("select * from dwd"),
         "cleaning_report": _q(
-            f"""select (select count(*) from ods) as rows_in, (select count(distinct event_id) from ods) as
+            f"""select (select count(*) from ods) as rows_in, (select count(*) from ods where event_id is null) as rows_without_id,
+  (select count(distinct event_id) from ods) as
   rows_deduplicated, (select count(*) from dwd) as rows_valid, (select count(*) from dwd) as rows_out"""
         ),
         "city_from_ip": _q(

@@ -9,7 +9,7 @@ from footfall.operators.windows import download_stats, funnel_windowed, pv_uv_wi
 from footfall.session import configure_streaming
 from footfall.sinks.metrics import to_metric_rows, write_latest_snapshot
 from footfall.streaming.anomaly import stream_anomaly
-from footfall.streaming.jobs import clean_stateless, to_table
+from footfall.streaming.jobs import stream_clean, to_table
 
 
 def run_realtime(events: DataFrame, root: str, checkpoints: str, **trigger) -> list[StreamingQuery]:
@@ -19,7 +19,7 @@ def run_realtime(events: DataFrame, root: str, checkpoints: str, **trigger) -> l
     the others; each reads the source at its own pace.
     """
     configure_streaming(events.sparkSession)
-    clean = clean_stateless(events)
+    clean = stream_clean(events)
     pv_uv = to_metric_rows(pv_uv_windowed(clean), ["pv", "uv"], "5 minutes")
     downloads = to_metric_rows(download_stats(clean), ["download_count"], "5 minutes", "app", "app_name")
     funnel_metrics = ["impression", "click", "download", "install", "click_rate", "download_rate", "install_rate"]

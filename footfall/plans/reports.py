@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.expressions import count_where, is_type
-from footfall.operators.clean import Day, as_date
+from footfall.operators.clean import as_date, between_days, Day
 from footfall.operators.ranking import top_downloads
 from footfall.sinks.metrics import read_latest
 from footfall.sources.tables import read_layer
@@ -80,8 +80,11 @@ def hourly_trend(hourly: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
 
 
 def kpi_snapshot(events: DataFrame, as_of: str, minutes: int = 5) -> DataFrame:
-    """PV and UV of the last minutes, downloads and searches since midnight: one scan of one day."""
+    """PV and UV of the last minutes, downloads and searches since midnight: one scan of the day, or
+    of two when the minutes begin before midnight."""
     now = F.lit(as_of).cast("timestamp")
+    start = dt.datetime.fromisoformat(as_of) - dt.timedelta(minutes=minutes)
+    events = between_days(events, start.date(), as_of[:10])
     time = F.col("event_time")
     recent = (time > now - F.expr(f"interval {minutes} minutes")) & (time <= now)
     today = (time >= F.date_trunc("day", now)) & (time <= now)

@@ -21,7 +21,6 @@ EVENT_TYPES = (
     "in_app_purchase",
 )
 UNKNOWN = "未知"
-PAGES = ("home", "search", "category", "ranking", "detail", "download", "mine")
 
 EVENT_COLUMNS = (
     ("event_id", T.StringType()),
@@ -54,18 +53,6 @@ WIRE_EVENT = T.StructType(
     ]
 )
 
-# The fields each event type may carry in its ``properties`` JSON.
-PROPERTY_SCHEMAS = {
-    "app_download": "app_id string, app_name string, app_category string, download_source string",
-    "app_install": "app_id string, app_name string, app_category string, install_result string",
-    "search_query": "keyword string, search_type string",
-    "app_click": "app_id string, app_name string, position int",
-    "ad_impression": "ad_id string, ad_type string, ad_position string",
-    "ad_click": "ad_id string, ad_type string",
-    "in_app_purchase": "order_id string, amount double, currency string",
-    "page_view": "",
-}
-
 DAILY_METRICS = (
     "stat_date date, event_type string, pv long, uv long, new_user_count long, "
     "avg_duration double, top_city string, top_device string, download_count long, search_count long"

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.expressions import interval_micros, window_label
 from footfall.operators.daily import ALL
+from footfall.sinks.tables import complete_versions, drop_versions, new_version
 
 MESSAGE = "value"
 _TIME = "yyyy-MM-dd HH:mm:ss"
@@ -122,32 +123,51 @@ def latest_values(batch: DataFrame, ttl: str) -> DataFrame:
     )
 
 
+_LATEST = (
+    "metric_name string, dimension string, dimension_value string, window_size string, metric_time timestamp, "
+    "metric_value double, expires_at timestamp"
+)
+_KEY = ["metric_name", "dimension", "dimension_value", "window_size"]
+
+
 def write_latest_snapshot(metric_rows: DataFrame, path: str, checkpoint: str, ttl: str, **trigger) -> StreamingQuery:
-    """Keep the latest value of every metric in a small table.
+    """Keep the latest value of every metric and dimension value in a small table.
 
-    One folder per metric, so a batch replaces the metrics it has and leaves the
-    others. ``ttl`` counts from the window's start: take the window length (so the
-    value outlives it) plus the time a value may stay shown.
+    Each batch merges its values with the stored ones that have not expired at its newest window,
+    by the full key, and writes a new version; readers take the newest one that is complete. The
+    version before it stays for readers that have it open, older ones go. ``ttl`` counts from the
+    window's start: take the window length (so the value outlives it) plus the time a value may
+    stay shown.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        (
-            latest_values(batch, ttl)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("metric_name")
-            .parquet(path)
-        )
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        merge_latest(spark, latest_values(batch, ttl), path, batch_id)
 
     writer = metric_rows.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start() if trigger else writer.start()
 
 
+def merge_latest(spark: SparkSession, values: DataFrame, path: str, batch_id: int) -> None:
+    """One batch's latest values into the stored ones. Merging a batch again changes nothing."""
+    versions = complete_versions(spark, path)
+    newest = values.agg(F.max("metric_time")).first()[0]
+    if newest is None:
+        return
+    stored = _version(spark, path, versions[-1:]).filter(F.col("expires_at") > F.lit(newest))
+    both = stored.select(*values.columns).unionByName(values)
+    latest = both.groupBy(*_KEY).agg(F.max(F.struct("metric_time", "metric_value", "expires_at")).alias("n"))
+    latest.select(*_KEY, "n.*").write.mode("overwrite").parquet(f"{path}/version={new_version(batch_id)}")
+    drop_versions(spark, path, versions[:-1])
+
+
+def _version(spark: SparkSession, path: str, version: list[str]) -> DataFrame:
+    if not version:
+        return spark.createDataFrame([], _LATEST)
+    return spark.read.schema(_LATEST).parquet(f"{path}/version={version[0]}")
+
+
 def read_latest(spark: SparkSession, path: str, now: str) -> DataFrame:
     """Values that have not expired at ``now``."""
-    schema = (
-        "dimension string, dimension_value string, window_size string, metric_time timestamp, "
-        "metric_value double, expires_at timestamp, metric_name string"
-    )
-    return spark.read.schema(schema).parquet(path).filter(F.col("expires_at") > F.lit(now).cast("timestamp"))
+    stored = _version(spark, path, complete_versions(spark, path)[-1:])
+    return stored.filter(F.col("expires_at") > F.lit(now).cast("timestamp"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,32 @@ def table_exists(spark: SparkSession, root: str, table: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def new_version(batch_id: int) -> str:
+    """A folder name that sorts behind those of earlier runs, whatever checkpoint they had."""
+    return f"{time.time_ns() // 1_000_000:015d}-{batch_id:09d}"
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[str]:
+    """The ``version=…`` folders below ``path`` that were written to the end, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    done = [n for n in names if n.startswith("version=") and files.exists(_child(spark, path, f"{n}/_SUCCESS"))]
+    return sorted(n.removeprefix("version=") for n in done)
+
+
+def drop_versions(spark: SparkSession, path: str, versions: list[str]) -> None:
+    for version in versions:
+        folder = _child(spark, path, f"version={version}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _child(spark: SparkSession, path: str, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+
+
 def write_layer(df: DataFrame, root: str, table: str, day: Day | None = None) -> None:
     """Overwrite days of a layer table; rerunning a day changes nothing.
 

@@ -51,30 +51,49 @@ def decode_events(messages: DataFrame, column: str = "value") -> tuple[DataFrame
 def read_event_messages(
     spark: SparkSession, options: Mapping[str, str], starting: str = "latest"
 ) -> DataFrame:
-    """The raw message stream. ``options`` holds the servers and the topic; needs the Kafka connector."""
+    """The raw message stream. ``options`` holds the servers and the topic; needs the Kafka connector.
+
+    Messages that are gone before they were read fail the query, unless ``options`` says otherwise.
+    """
     return (
         spark.readStream.format("kafka")
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
         .options(**options)
         .load()
         .select("key", "value", "timestamp")
     )
 
 
-def read_event_stream(spark: SparkSession, options: Mapping[str, str], starting: str = "latest") -> DataFrame:
-    """Decoded events of the message stream, rejects dropped."""
-    return decode_events(read_event_messages(spark, options, starting))[0]
+def read_event_stream(
+    spark: SparkSession, options: Mapping[str, str], starting: str = "latest"
+) -> tuple[DataFrame, DataFrame]:
+    """``(events, rejects)`` of the message stream; land the rejects, they are nowhere else."""
+    return decode_events(read_event_messages(spark, options, starting))
 
 
-def read_events_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Events of JSON-lines files; the declared schema saves an inference pass."""
-    return with_defaults(parse_times(spark.read.schema(WIRE_EVENT).json(path)))
+def decode_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(events, rejects)`` of JSON-lines files, decoded as messages are; empty lines are neither."""
+    return decode_events(_lines(spark.read.text(path)))
 
 
-def stream_events_jsonl(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def decode_jsonl_stream(
+    spark: SparkSession, path: str, max_files: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The same folder as a stream of new files."""
-    reader = spark.readStream.schema(WIRE_EVENT)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_defaults(parse_times(reader.json(path)))
+    return decode_events(_lines(reader.text(path)))
+
+
+def _lines(text: DataFrame) -> DataFrame:
+    return text.filter(F.trim("value") != "")
+
+
+def read_events_jsonl(spark: SparkSession, path: str) -> DataFrame:
+    """Only the events of :func:`decode_jsonl`, for files whose rejects are kept elsewhere."""
+    return decode_jsonl(spark, path)[0]
+
+
+def stream_events_jsonl(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    return decode_jsonl_stream(spark, path, max_files)[0]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.expressions import valid_event_type, valid_user
-from footfall.operators.clean import fill_defaults, parse_times
+from footfall.operators.clean import CHECKED, fill_defaults, parse_times
 from footfall.session import configure_streaming, scratch_dir
 
 WATERMARK = "5 seconds"
@@ -26,6 +27,19 @@ def stream_clean(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return fill_defaults(unique.filter(valid_user() & valid_event_type()))
 
 
+def stream_clean_newest(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Streaming ODS to DWD with the newest copy of each event, as in batch; rows come out when the
+    watermark has passed them. Copies share their event time; of others the first to close is kept.
+    """
+    timed = with_event_time(parse_times(events), delay).filter("event_id is not null")
+    rest = [c for c in timed.columns if c not in ("event_id", "event_time", "server_time")]
+    rest.sort(key=lambda c: CHECKED.index(c) if c in CHECKED else len(CHECKED))
+    newest = timed.groupBy("event_time", "event_id").agg(F.max(F.struct("server_time", *rest)).alias("e"))
+    rows = newest.select("event_id", "event_time", "e.*").select(*events.columns)
+    unique = rows.dropDuplicatesWithinWatermark(["event_id"])
+    return fill_defaults(unique.filter(valid_user() & valid_event_type()))
+
+
 def clean_stateless(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """Validation and fill only, for metrics that do not need de-duplication."""
     valid = parse_times(events).filter(valid_user() & valid_event_type())
@@ -82,10 +96,13 @@ def incremental_daily(events: DataFrame, path: str, checkpoint: str, **trigger)
         F.count(F.when(F.col("event_type") == "search_query", 1)).alias("searches"),
     )
 
+    run = time.time_ns() // 1_000_000 * 1_000_000
+
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        # The changed users of this batch, one small file set per batch; reruns overwrite their own.
+        # The changed users of this batch, one small file set per batch. Counts only grow, and those of
+        # a later run, even from a new checkpoint, stand behind all earlier ones.
         rows = batch.withColumn("stat_date", F.to_date("window.start")).drop("window")
-        rows = rows.withColumns({"dt": F.date_format("stat_date", "yyyy-MM-dd"), "batch": F.lit(batch_id)})
+        rows = rows.withColumns({"dt": F.date_format("stat_date", "yyyy-MM-dd"), "batch": F.lit(run + batch_id)})
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "dt", "batch"
         ).parquet(path)
@@ -115,20 +132,22 @@ def split_late(events: DataFrame, path: str, checkpoint: str, delay: str = WATER
     """Send rows behind the watermark aside instead of dropping them.
 
     Spark drops late rows silently, so each batch is compared with the highest event
-    time of the batches before it. Every batch writes folders of its own number:
-    a repeated batch overwrites, never doubles. The highest time is one row per batch.
+    time of the batches before it, which the batch before it left as one row. Every
+    batch writes folders of its own number: a repeated batch overwrites, never doubles.
     """
     spark = events.sparkSession
-    marks_schema = T.StructType.fromDDL("high timestamp, batch long")
+    mark_schema = "high timestamp"
 
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.agg(F.max("event_time").alias("high")).write.mode("overwrite").parquet(
-                f"{path}/marks/batch={batch_id}"
-            )
-            marks = spark.read.schema(marks_schema).parquet(f"{path}/marks")
-            high = marks.filter(F.col("batch") < batch_id).agg(F.max("high").alias("_high"))
+            if batch_id:
+                before = spark.read.schema(mark_schema).parquet(f"{path}/marks/batch={batch_id - 1}")
+            else:
+                before = spark.createDataFrame([(None,)], mark_schema)
+            reached = batch.agg(F.max("event_time").alias("high")).unionByName(before)
+            reached.agg(F.max("high").alias("high")).write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+            high = before.withColumnRenamed("high", "_high")
             # A one-row table: its broadcast is bounded by construction.
             rows = batch.join(F.broadcast(high))
             late = F.coalesce(F.col("event_time") < F.col("_high") - F.expr(f"interval {delay}"), F.lit(False))

@@ -29,7 +29,7 @@ def test_illegal_rows_and_defaults(make_events):
         ]
     )
     assert rows(clean.ods_to_dwd(events), "city", "device_model", "duration") == [("未知", "未知", 0)]
-    assert rows(clean.cleaning_report(events)) == [(4, 4, 1, 1)]
+    assert rows(clean.cleaning_report(events)) == [(4, 0, 4, 1, 1)]
 
 
 def test_cleaning_twice_changes_nothing(make_events):
