@@ -124,17 +124,3 @@ def window_label(text: str) -> str:
     """``"5 minutes"`` as the short form ``5m`` kept in result tables."""
     number, unit = text.split()
     return f"{number}{unit[0]}"
-
-
-def half_up_sql(value: str, digits: int = 2) -> str:
-    """The SQL text of :func:`half_up`, for the checks against another engine."""
-    scale = f"{float(10**digits)}"
-    return f"(sign({value}) * floor(abs({value}) * {scale} + 0.5) / {scale})"
-
-
-def percent_sql(part: str, whole: str, digits: int = 2) -> str:
-    scale = float(10**digits)
-    return (
-        f"(case when {whole} > 0 then floor({part} * cast({100.0 * scale} as double) / {whole} + 0.5)"
-        f" / cast({scale} as double) else cast(0.0 as double) end)"
-    )

@@ -197,7 +197,8 @@ def funnel_ordered(
 ) -> DataFrame:
     """Users per day who did step k strictly after step k-1, the whole chain inside ``within``.
 
-    The day is that of the first step; a chain may run over midnight. So an event also stands with
+    The day is that of the first step, without which a day gives no rows unless it is asked for; a
+    chain may run over midnight. So an event also stands with
     each earlier day from whose end it is less than ``within`` away, there without the first step:
     for spans up to a day that copies the events of the first ``within`` of a day once.
     """
@@ -218,8 +219,7 @@ def funnel_ordered(
     bits = _step_bits(steps)
     mask = F.when(F.col("_back") == 0, bits).otherwise(bits.bitwiseAND(~1))
     reach = ordered_reach(rows, ["stat_date", "user_id"], steps, within, bin_size, mask)
-    first_seen = F.col("start_1").isNotNull()
-    reach = reach.filter(first_seen) if wanted is not None else reach
+    reach = reach.filter("start_1 is not null")
     counts = reach.groupBy("stat_date").agg(
         *[F.count(f"start_{k}").alias(f"c{k}") for k in range(1, len(steps) + 1)]
     )

@@ -62,18 +62,21 @@ def dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.ods_to_dwd(ods(spark, sf_dir))
 
 
-def detail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Clean events with only what a query reads: the rest never reaches the shuffle."""
-    return clean.ods_to_dwd(ods(spark, sf_dir), columns)
+def detail(spark: SparkSession, sf_dir: str, *columns: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """Clean events with only what a query reads: the rest never reaches the shuffle.
 
+    A report on some days names them, the copies of an event having one event time.
+    """
+    return clean.ods_to_dwd(ods(spark, sf_dir), columns, days)
 
-def _on_detail(build: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
-    return lambda spark, sf_dir: build(detail(spark, sf_dir, *columns))
+
+def _on_detail(build: Callable[[DataFrame], DataFrame], *columns: str, days: tuple[str, str] | None = None) -> Query:
+    return lambda spark, sf_dir: build(detail(spark, sf_dir, *columns, days=days))
 
 
 def _on_stream(build: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return jobs.run_available(build(jobs.clean_stateless(ods_stream(spark, sf_dir))), "stream")
+        return jobs.run_available(build(jobs.stream_clean(ods_stream(spark, sf_dir))), "stream")
 
     return run
 
@@ -149,6 +152,71 @@ def _jsonl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("event_type").agg(F.count("*").alias("events"), F.sum("duration").alias("duration_ms"))
 
 
+def _jsonl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines, those of one type broken, read back: good and rejected lines."""
+    path = scratch_dir(spark, "jsonl")
+    messages = metrics.event_messages(ods(spark, sf_dir))
+    line = F.when(F.col("key") == "error", F.concat(F.lit("{"), F.col("value"))).otherwise(F.col("value"))
+    messages.select(line.alias("value")).write.text(path)
+    events, rejects = event_source.decode_jsonl(spark, path)
+    kinds = events.select(F.col("event_type").alias("kind")).unionByName(rejects.select(F.lit("rejected").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count("*").alias("lines"))
+
+
+def _latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of daily downloads, each with other apps, merged into the latest values."""
+    path = scratch_dir(spark, "latest")
+    counts = windows.download_stats(detail(spark, sf_dir, "properties"), "1 day", "1 day")
+    rows = metrics.to_metric_rows(counts, ["download_count"], "1 day", "app", "app_name")
+    part = F.pmod(F.hash("dimension_value"), F.lit(2))
+    for batch in (0, 1):
+        metrics.merge_latest(spark, metrics.latest_values(rows.filter(part == batch), "40 days"), path, batch)
+    return metrics.read_latest(spark, path, AS_OF)
+
+
+def _within(found: DataFrame, exact: DataFrame, key: str, estimate: str, error: float) -> DataFrame:
+    """Exact counts, and whether the estimates are as near as they should be."""
+    near = F.abs(F.col(estimate) - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * error)
+    return exact.join(found, key).select(key, "uv", near.alias("is_within"))
+
+
+def _uv_approx(events: DataFrame) -> DataFrame:
+    return _within(daily.uv_approx(events), daily.uv_of_sets(events), "stat_date", "uv_approx", 0.08)
+
+
+def _uv_hll_weekly(events: DataFrame) -> DataFrame:
+    week = F.date_trunc("week", F.to_date("event_time")).cast("date").alias("week")
+    week_of_day = F.date_trunc("week", "stat_date").cast("date").alias("week")
+    exact = events.select(week, "user_id").distinct().groupBy("week").agg(F.count("user_id").alias("uv"))
+    return _within(daily.uv_from_sketches(daily.uv_sketches(events), week_of_day), exact, "week", "uv_estimate", 0.04)
+
+
+def _dated_assignment(events: DataFrame) -> DataFrame:
+    """The experiments' dates lie later than the log, so its days are shifted onto them."""
+    shifted = events.withColumn("at", F.expr("event_time + make_interval(0, 0, 0, datediff(date'2026-07-10', date'2024-01-15'))"))
+    return experiment.assign_experiment(shifted.select("event_id", "user_id", "at"), time_col="at").drop("user_id", "at")
+
+
+def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts per day, kept by a stream."""
+    jobs.configure_streaming(spark)
+    folder = scratch_dir(spark, "daily")
+    events = jobs.clean_stateless(ods_stream(spark, sf_dir))
+    jobs.incremental_daily(events, f"{folder}/out", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    return jobs.read_incremental_daily(spark, f"{folder}/out")
+
+
+def _lookup(table: str, build: Callable[[DataFrame], DataFrame], read: Callable, *columns: str) -> Query:
+    """Write a result table, look up in it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_dir(spark, "lookup")
+        tables.write_layer(build(detail(spark, sf_dir, *columns)), root, table)
+        return read(spark, root)
+
+    return run
+
+
 def _decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode the log as messages, break some, decode: good and rejected counts per key."""
     messages = metrics.event_messages(ods(spark, sf_dir))
@@ -199,16 +267,17 @@ def queries() -> dict[str, Query]:
             ods(s, d).select("event_id", "event_time", "server_time", "city"), ["event_id", "event_time"], "server_time"
         ),
         "summing_merge": _summing_merge,
-        "ttl_filter": on(lambda e: tables.apply_ttl(e.select("event_id", "event_time"), "event_time", 7, AS_OF)),
+        "ttl_filter": on(lambda e: tables.apply_ttl(e.select("event_id", "event_time"), "event_time", 7, AS_OF), days=("2024-01-24", AS_OF)),
         "layer_days": _layer_days,
         "jsonl_events": _jsonl_events,
         "decoded_events": _decoded_events,
+        "jsonl_rejects": _jsonl_rejects,
         # Summaries
         "daily_summary": on(daily.daily_summary, *TRAFFIC),
         "daily_summary_by_type": on(lambda e: daily.daily_summary(e, by_type=True), *TRAFFIC),
         "hourly_summary": on(daily.hourly_summary, *TRAFFIC),
         "new_users": on(daily.new_users),
-        "new_users_of_day": on(_new_users_of_day),
+        "new_users_of_day": on(_new_users_of_day, days=("2024-01-01", "2024-01-02")),
         "top_city_per_day": on(
             lambda e: daily.top_value(e.withColumn("stat_date", F.to_date("event_time")), ["stat_date"], "city"),
             "city",
@@ -216,12 +285,8 @@ def queries() -> dict[str, Query]:
         "drill_down_cube": on(lambda e: daily.drill_down(e, ["city", "device_model", "app_version"]), *CELLS),
         "drill_down_rollup": on(lambda e: daily.drill_down(e, ["city", "app_version"], how="rollup"), *CELLS),
         "city_distribution": on(daily.city_distribution, "city"),
-        "uv_approx": on(daily.uv_approx),
-        "uv_hll_weekly": on(
-            lambda e: daily.uv_from_sketches(
-                daily.uv_sketches(e), F.date_trunc("week", "stat_date").cast("date").alias("week")
-            )
-        ),
+        "uv_approx": on(_uv_approx),
+        "uv_hll_weekly": on(_uv_hll_weekly),
         "uv_bitmap": on(lambda e: daily.uv_bitmap(e, _user_number())),
         "uv_of_sets": on(daily.uv_of_sets),
         # Retention
@@ -234,7 +299,7 @@ def queries() -> dict[str, Query]:
         "retention_matrix": on(lambda e: retention.retention_matrix(e, "2024-01-01", "2024-01-14", 14)),
         # Funnels
         "funnel_steps": on(funnel.funnel_steps),
-        "funnel_steps_of_days": on(lambda e: funnel.funnel_steps(e, ["2024-01-02", DAY, "2024-03-01"])),
+        "funnel_steps_of_days": on(lambda e: funnel.funnel_steps(e, ["2024-01-02", DAY, "2024-03-01"]), days=("2024-01-02", "2024-03-01")),
         "funnel_contained": on(funnel.funnel_contained),
         "funnel_ordered": on(lambda e: funnel.funnel_ordered(e, within="6 hours")),
         "funnel_windowed": on(windows.funnel_windowed),
@@ -248,6 +313,7 @@ def queries() -> dict[str, Query]:
         "ab_event_assignment": lambda s, d: experiment.assign_experiment(
             detail(s, d).select("event_id", "user_id")
         ),
+        "ab_dated_assignment": on(_dated_assignment),
         "ab_metrics": on(experiment.ab_metrics, *GROUPS),
         "ab_extra_metrics": on(lambda e: experiment.ab_metrics(e, extra=True), *GROUPS),
         "ab_uplift": on(experiment.ab_experiment, *GROUPS),
@@ -269,6 +335,9 @@ def queries() -> dict[str, Query]:
         # Windows, sessions and alerts
         "pv_uv_5m": on(windows.pv_uv_windowed),
         "pv_uv_sliding": on(lambda e: windows.pv_uv_windowed(e, "5 minutes", "30 seconds")),
+        "pv_uv_sliding_uneven": on(lambda e: windows.pv_uv_windowed(e, "5 minutes", "2 minutes")),
+        "downloads_sliding_uneven": on(lambda e: windows.download_stats(e, "7 minutes", "3 minutes"), "properties"),
+        "latest_snapshot": _latest_snapshot,
         "downloads_sliding": on(windows.download_stats, "properties"),
         "download_ranking": on(lambda e: windows.download_ranking(e, "6 hours", "1 hour", 5), "properties"),
         "realtime_metrics": on(windows.realtime_metrics, "city", "device_model", "properties"),
@@ -293,6 +362,8 @@ def queries() -> dict[str, Query]:
         "anomaly_3down": on(lambda e: windows.declining_runs(e, "1 hour", total=-0.6)),
         # Streams, run over all there is
         "stream_clean": _stream_clean,
+        "stream_clean_newest": lambda s, d: jobs.run_available(jobs.stream_clean_newest(ods_stream(s, d)), "stream"),
+        "stream_daily": _stream_daily,
         "stream_pv_uv": stream(windows.pv_uv_windowed),
         "stream_downloads": stream(windows.download_stats),
         "stream_funnel": stream(windows.funnel_windowed),
@@ -300,18 +371,32 @@ def queries() -> dict[str, Query]:
         "stream_anomaly": stream(lambda e: anomaly.stream_anomaly(e, "6 hours")),
         "stream_followed": _stream_followed,
         # Reports
-        "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF), "properties"),
-        "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY), "properties"),
+        "retention_lookup": _lookup(
+            "ads_retention",
+            lambda e: retention.retention(e).filter("ret_day <= 7"),
+            lambda s, root: reports.get_retention(s, root, DAY),
+        ),
+        "funnel_lookup": _lookup("ads_funnel_analysis", funnel.funnel_steps, lambda s, root: reports.get_funnel(s, root, DAY)),
+        "daily_range_lookup": _lookup(
+            "dws_daily_metrics",
+            daily.daily_summary,
+            lambda s, root: reports.get_daily(s, root, "2024-01-10", "2024-01-20"),
+            *TRAFFIC,
+        ),
+        "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF), "properties", days=("2024-01-24", AS_OF)),
+        "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY), "properties", days=(DAY, DAY)),
         "sample_users": on(lambda e: ranking.sample_users(e, 50, seed=7)),
-        "kpi_snapshot": on(lambda e: reports.kpi_snapshot(e, NOW, minutes=60)),
+        "kpi_snapshot": on(lambda e: reports.kpi_snapshot(e, NOW, minutes=60), days=("2024-01-19", "2024-01-20")),
         "daily_trend": on(
             lambda e: reports.daily_trend(
                 daily.daily_summary(clean.last_days(e, "2024-01-20"), approx_new=True), "2024-01-20"
             ),
             *TRAFFIC,
+            days=("2024-01-13", "2024-01-20"),
         ),
         "hourly_trend": on(
             lambda e: reports.hourly_trend(daily.hourly_summary(clean.last_days(e, NOW[:10], 1)), NOW),
             *TRAFFIC,
+            days=("2024-01-19", "2024-01-20"),
         ),
     }

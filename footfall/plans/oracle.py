@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from footfall.functions.expressions import half_up_sql as half_up
-from footfall.functions.expressions import percent_sql as percent
 from footfall.plans.catalog import DEVICE_TIERS, IP_RANGES
 
 _TYPES = (
@@ -101,11 +99,27 @@ def _win(seconds: int, time: str = "event_time") -> str:
     return f"make_timestamp((epoch_us({time}) // {us}) * {us})"
 
 
+def half_up(value: str, digits: int = 2) -> str:
+    """Away from zero at the half, on the double."""
+    scale = float(10**digits)
+    return f"(sign({value}) * floor(abs({value}) * {scale} + 0.5) / {scale})"
+
+
+def percent(part: str, whole: str, digits: int = 2) -> str:
+    """Hundredfold share, 0 of nothing."""
+    scale = float(10**digits)
+    return (
+        f"(case when {whole} > 0 then floor({part} * cast({100.0 * scale} as double) / {whole} + 0.5)"
+        f" / cast({scale} as double) else cast(0.0 as double) end)"
+    )
+
+
 def _slide(size: int, step: int, source: str, where: str = "true") -> str:
     """Every row once per window it belongs to."""
     return (
         f"select *, make_timestamp((epoch_us(event_time) // {step * 1_000_000} - i) * {step * 1_000_000}) as window_start "
-        f"from {source}, range(0, {size // step}) r(i) where {where}"
+        f"from {source}, range(0, {-(-size // step)}) r(i) where {where} "
+        f"and (epoch_us(event_time) // {step * 1_000_000} - i) * {step} + {size} > epoch(event_time)"
     )
 
 
@@ -205,26 +219,18 @@ def _funnel_contained() -> str:
 
 
 def _funnel_ordered(hours: int) -> str:
-    """Latest start of a chain, carried step by step by strict running maxima."""
-    before = (
-        "over (partition by d, user_id order by event_time range between unbounded preceding "
-        "and interval 1 microsecond preceding)"
+    """From each first step the earliest next steps, each by a nearest-later join; no day is cut off."""
+    later = lambda k, before: (
+        f"select x.*, y.event_time as t{k} from {before} x asof left join "
+        f"(select user_id, event_time from dwd where event_type = '{_AD[k - 1]}') y "
+        f"on x.user_id = y.user_id and y.event_time > x.t{k - 1}"
     )
-    step = lambda k: f"event_type = '{_AD[k - 1]}'"
-    within = lambda s: f"event_time - {s} <= interval {hours} hour"
-    return _step_rows(
-        f"""select d as stat_date, count(distinct case when {step(1)} then user_id end) as c1,
-  count(distinct case when s2 is not null then user_id end) as c2,
-  count(distinct case when s3 is not null then user_id end) as c3,
-  count(distinct case when {step(4)} and {within('p3')} then user_id end) as c4
-from (select *, max(s3) {before} as p3 from
-  (select *, case when {step(3)} and {within('p2')} then p2 end as s3 from
-    (select *, max(s2) {before} as p2 from
-      (select *, case when {step(2)} and {within('p1')} then p1 end as s2 from
-        (select *, max(case when {step(1)} then event_time end) {before} as p1 from
-          (select *, {_DAY} as d from dwd where event_type in {_AD}))))))
-group by d"""
+    first = f"(select user_id, event_time as t1, {_DAY} as d from dwd where event_type = '{_AD[0]}')"
+    chain = later(4, f"({later(3, f'({later(2, first)})')})")
+    counts = ", ".join(
+        f"count(distinct case when t{k} <= t1 + interval {hours} hour then user_id end) as c{k}" for k in (2, 3, 4)
     )
+    return _step_rows(f"select d as stat_date, count(distinct user_id) as c1, {counts} from ({chain}) group by d")
 
 
 def _funnel_windowed(source: str = "dwd", where: str = "true") -> str:
@@ -472,6 +478,10 @@ where {_DAY} between date '2024-01-10' and date '2024-01-20' group by 1"""
         "jsonl_events": _q(
             "select event_type, count(*) as events, cast(sum(duration) as bigint) as duration_ms from dwd group by 1"
         ),
+        "jsonl_rejects": _q(
+            """select case when event_type = 'error' then 'rejected' else event_type end as kind, count(*) as lines
+from ods group by 1"""
+        ),
         "decoded_events": _q(
             """select case when event_type = 'error' then 'rejected' else event_type end as kind, count(*) as messages
 from ods group by 1"""
@@ -497,6 +507,10 @@ and user_id not in (select user_id from dwd where {_DAY} = date '2024-01-01')"""
             f"""select city, user_count, {percent('user_count', '(select sum(user_count) from c)')} as user_share from c""",
             c="select city, count(distinct user_id) as user_count from dwd group by 1",
         ),
+        "uv_approx": _q(f"select {_DAY} as stat_date, count(distinct user_id) as uv, true as is_within from dwd group by 1"),
+        "uv_hll_weekly": _q(
+            f"select cast(date_trunc('week', {_DAY}) as date) as week, count(distinct user_id) as uv, true as is_within from dwd group by 1"
+        ),
         "uv_bitmap": _q(
             f"select {_DAY} as stat_date, count(distinct {user_number}) as uv from dwd group by 1"
         ),
@@ -514,6 +528,15 @@ and user_id not in (select user_id from dwd where {_DAY} = date '2024-01-01')"""
         "funnel_steps_of_days": _funnel_steps(("2024-01-02", "2024-01-15", "2024-03-01")),
         "funnel_contained": _funnel_contained(),
         "funnel_ordered": _funnel_ordered(6),
+        "funnel_lookup": f"select step_order, step_name, user_count, step_rate, overall_rate from ({_funnel_steps(('2024-01-15',))})",
+        "retention_lookup": (
+            "select * from ("
+            + _retention((1, 3, 7, 30), "active", "select d from (values (date '2024-01-15')) v(d)")
+            + ") where ret_day <= 7"
+        ),
+        "daily_range_lookup": (
+            f"select * from ({_traffic('stat_date', _DAY)}) where stat_date between date '2024-01-10' and date '2024-01-20'"
+        ),
         "funnel_windowed": _funnel_windowed(),
         "app_conversion": _q(
             f"select *, {percent('download_users', 'click_users')} as conversion_rate from c",
@@ -546,6 +569,16 @@ left join device e using (user_id) left join (values {tiers}) t(model, tier) on
 from (select user_id, e.experiment_id, e.share, {_bucket("md5(concat_ws('_', user_id, e.experiment_id))")} as bucket
       from (select distinct user_id from dwd), (values ('exp_001_home_rec_algo', 50), ('exp_002_search_ranking', 60))
         e(experiment_id, share))"""
+        ),
+        "ab_dated_assignment": _q(
+            f"""select event_id, case when d <= last then e else '' end as experiment_id, case when d > last then ''
+  when {_bucket("md5(concat_ws('_', user_id, e))")} < share then 'A' else 'B' end as variant
+from (select event_id, user_id, {_DAY} + cast(date '2026-07-10' - date '2024-01-15' as integer) as d,
+        cast('0x' || substr(md5(concat_ws('_', '0', event_id)),1,8) as bigint) % 2 as pick from dwd)
+join (values (0, 'exp_001_home_rec_algo', date '2026-07-20', 50), (1, 'exp_002_search_ranking', date '2026-07-17', 60))
+  x(pick, e, last, share) using (pick)
+where d >= date '2026-07-10'
+union all select event_id, '', '' from dwd where {_DAY} < date '2024-01-15'"""
         ),
         "ab_event_assignment": _q(
             f"""select event_id, user_id, experiment_id, case when {_bucket("md5(concat_ws('_', user_id, experiment_id))")}
@@ -622,6 +655,17 @@ from (select *, case when va + vb > 0 then (mean_a - mean_b) / sqrt(va + vb) end
             **_TESTS,
         ),
         "pv_uv_5m": _pv_uv(300),
+        "pv_uv_sliding_uneven": _q(
+            f"""select window_start, {_end(300)}, count(*) as pv, count(distinct user_id) as uv
+from ({_slide(300, 120, 'dwd')}) group by window_start"""
+        ),
+        "downloads_sliding_uneven": _q(_downloads(420, 180)),
+        "latest_snapshot": _q(
+            """select 'download_count' as metric_name, 'app' as dimension, app_name as dimension_value, '1d' as window_size,
+  window_start as metric_time, cast(download_count as double) as metric_value, window_start + interval 40 day as expires_at
+from (select *, row_number() over (partition by app_name order by window_start desc) as r from x) where r = 1""",
+            x=_downloads(86400, 86400),
+        ),
         "pv_uv_sliding": _q(
             f"""select window_start, {_end(300)}, count(*) as pv, count(distinct user_id) as uv
 from ({_slide(300, 30, 'dwd')}) group by window_start"""
@@ -667,15 +711,22 @@ where c < c1 and c1 < c2 and c2 < c3 and cast(c - c3 as double) / c3 < -0.6"""
         "stream_clean": _q(
             "select event_id, event_type, user_id, event_time, device_model, duration from dwd"
         ),
-        "stream_pv_uv": _pv_uv(300, "live", _closed(300)),
-        "stream_downloads": _q(_downloads(300, 60, "live", _closed(300))),
-        "stream_funnel": _funnel_windowed("live", _closed(600)),
+        "stream_clean_newest": _q(
+            "select * from dwd where event_time < (select until from closed)"
+        ),
+        "stream_daily": _q(
+            f"""select {_DAY} as stat_date, count(*) as pv, count(distinct user_id) as uv,
+  {_n("event_type='app_download'")} as download_count, {_n("event_type='search_query'")} as search_count from live group by 1"""
+        ),
+        "stream_pv_uv": _pv_uv(300, "dwd", _closed(300)),
+        "stream_downloads": _q(_downloads(300, 60, "dwd", _closed(300))),
+        "stream_funnel": _funnel_windowed("dwd", _closed(600)),
         "stream_sessions": _session_query(
             f"select * from ({_SESSION_ROWS}) where session_end + interval '1799999999' microsecond "
             "<= (select until from closed)",
-            "live",
+            "dwd",
         ),
-        "stream_anomaly": _anomaly(21600, "live", where=_closed(21600)),
+        "stream_anomaly": _anomaly(21600, "dwd", where=_closed(21600)),
         "stream_followed": _q(
             """select event_id, user_id, event_time from (select distinct event_id, user_id, event_time from live
   where event_type = 'app_click') a where exists (select 1 from live b where b.event_type = 'app_download'
