@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import cache
 from hashlib import md5
 
 import numpy as np
@@ -21,7 +23,7 @@ BLOCK_ROWS = 256
 BLOCK_GRAMS = 1_000_000
 #: Columns of a block that so many rows have are multiplied as dense ones.
 DENSE_ROWS = 16
-#: How often a set is dealt out anew that leaves a part empty, before empty parts count as equal.
+#: How often a set is dealt out anew that leaves too many parts empty, before empty parts count as equal.
 SEEDS = 8
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -76,11 +78,24 @@ class SizeClasses:
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.array, size, side="right")) - 1
 
-    def parts(self, c: int) -> int:
-        """One more than the elements that sets of class c and their larger partners can differ in."""
+    @cache
+    def parts(self, c: int) -> tuple[int, int]:
+        """How many parts, and how many of them may be empty, for sets of class c and larger partners.
+
+        The parts are one more than such sets can differ in and than may be empty. That is what
+        chance rarely exceeds, where there are such numbers; else none.
+        """
         most = self.bounds[c + 1] - 1
         both = most + most * self.t.denominator // self.t.numerator
-        return int(both * (1 - self.t) / (1 + self.t)) + 1
+        differ = int(both * (1 - self.t) / (1 + self.t))
+        k = differ + 1
+        while differ and k <= 2 * (differ + 1):
+            mean = k * math.exp(-self.bounds[c] / k)
+            empty = math.ceil(mean + 4 * math.sqrt(mean))
+            if differ + 1 + empty <= k:
+                return k, k - differ - 1
+            k = differ + 1 + empty
+        return differ + 1, 0
 
     def links(self, overlap, a, b):
         """Overlap needed by sizes, in whole numbers."""
@@ -91,14 +106,15 @@ class SizeClasses:
 def part_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     """The keys by which a set meets all sets that it may link with.
 
-    The columns of the product are dealt into one more part than linked sets can differ in, so they
-    agree in a whole part. A set takes part in the dealing of its own class, with partners of its
-    class or the next, and in that of the class before. If a set has an empty part, agreeing in it
-    says nothing; such sets are dealt out once more.
+    The columns of the product are dealt into more parts than linked sets can differ in, so they
+    agree in whole parts. A set takes part in the dealing of its own class, with partners of its
+    class or the next, and in that of the class before. Agreeing in an empty part says nothing; as
+    long as one of two sets has no more of these than the dealing allows, they agree in a full one
+    too. Sets with more are dealt out once more.
     """
     c, keys = classes.of(len(grams)), []
     for scheme in (c, c - 1):
-        k = classes.parts(scheme) if scheme >= 0 else 1
+        k, allowed = classes.parts(scheme) if scheme >= 0 else (1, 0)
         if k == 1:
             continue  # only equal sets link, and they are one row
         edges = np.array([(j << 64) // k for j in range(1, k)], np.uint64)
@@ -111,7 +127,7 @@ def part_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
             sums = np.add.reduceat(_mixed(dealt * _M1 + _M3), cuts[full])
             place = np.uint64(scheme << 40 | seed << 34) + full.astype(np.uint64)
             keys.append(_mixed(_mixed(sums) + place * _M1))
-            if len(full) == k:
+            if k - len(full) <= allowed:
                 break
             if seed == SEEDS - 1:
                 empty = np.setdiff1d(np.arange(k), full).astype(np.uint64)
@@ -129,21 +145,40 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return map_columns(docs, "doc_id bigint, grams binary", start)
 
 
-def _profiles(docs: DataFrame, n: int, classes: SizeClasses) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), keys."""
+def _profiles(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, n_shingles, digest of the set (null if empty)."""
 
     def start():
         shingler = Shingler(n)
 
         def step(ids, texts):
             sets = [shingler(text or "") for text in texts]
-            digests = [md5(s.tobytes()).digest() if len(s) else None for s in sets]
-            keys = [part_keys(s, classes).view(np.int64) if len(s) else () for s in sets]
-            return ids, [len(s) for s in sets], digests, keys
+            return ids, [len(s) for s in sets], [md5(s.tobytes()).digest() if len(s) else None for s in sets]
 
         return step
 
-    return map_columns(docs, "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>", start)
+    return map_columns(docs, "doc_id bigint, n_shingles bigint, digest binary", start)
+
+
+def _keys(docs: DataFrame, n: int, classes: SizeClasses) -> DataFrame:
+    """doc_id, key. Of equal sets in a batch the smallest id stands for all: copies merge before the shuffle."""
+    arrow = arrow_schema("doc_id bigint, key bigint")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
+        for batch in batches:
+            first: dict[bytes, int] = {}
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                grams = shingler(text).tobytes()
+                if grams:
+                    first[grams] = min(doc_id, first.get(grams, doc_id))
+            rows = list(first.items())
+            for at in range(0, len(rows), 1000):
+                keys = [part_keys(np.frombuffer(grams, np.uint64), classes) for grams, _ in rows[at : at + 1000]]
+                ids = np.repeat([doc_id for _, doc_id in rows[at : at + 1000]], [len(k) for k in keys])
+                yield record_batch((ids.astype(np.int64), np.concatenate(keys).view(np.int64)), arrow)
+
+    return docs.filter("doc_id is not null").mapInArrow(run, "doc_id bigint, key bigint")
 
 
 def jaccard_join(
@@ -166,16 +201,16 @@ def jaccard_join(
     """
     classes = SizeClasses(Fraction(percent, 100))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
-    profiles = written(_profiles(texts, n, classes), "jaccard-profiles")
+    profiles = written(_profiles(texts, n), "jaccard-profiles")
     linked = profiles.filter("doc_id is not null and digest is not null")
     rows = written(linked.groupBy("digest").agg(F.min("doc_id").alias("row_id")), "jaccard-rows")
 
-    keys = linked.select("doc_id", "n_shingles", "digest", "keys").join(
-        rows, (linked["digest"] == rows["digest"]) & (linked["doc_id"] == rows["row_id"]), "left_semi"
-    )
-    keys = keys.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
-    met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    met = written(met, "jaccard-parts")
+    keys = _keys(texts, n, classes)
+    met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").select("doc_id", "key")
+    # Equal sets have equal keys, so their smallest id is among those that met.
+    met = written(met.join(rows.select(F.col("row_id").alias("doc_id")), "doc_id", "left_semi"), "jaccard-parts")
+    met = met.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
+    met = written(met, "jaccard-rows-met")
     cells = written(_cells(met), "jaccard-cells")
     links = written(_products(cells, texts, n, classes), "jaccard-links")
     labels = connected_components(links).select(F.col("node").alias("row_id"), "component")
@@ -197,11 +232,11 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
 
 
 def _cells(met: DataFrame) -> DataFrame:
-    """cell, doc_id, n_shingles: each part's rows in the cell of the part's hub."""
+    """cell, doc_id: each part's rows in the cell of the part's hub."""
     score = written(met.groupBy("doc_id").agg(F.sum("n").alias("score")), "jaccard-scores")
     scored = met.join(score, "doc_id")
     hubs = written(scored.groupBy("key").agg(F.max(F.struct("score", (-F.col("doc_id")).alias("minus"))).alias("hub")), "jaccard-hubs")
-    placed = met.join(hubs, "key").select((-F.col("hub.minus")).alias("cell"), "doc_id", "n_shingles")
+    placed = met.join(hubs, "key").select((-F.col("hub.minus")).alias("cell"), "doc_id")
     return placed.distinct()
 
 
@@ -209,7 +244,8 @@ def _products(cells: DataFrame, texts: DataFrame, n: int, classes: SizeClasses)
     """a, b: links that span the linked rows of each pair of blocks."""
     used = written(cells.select("doc_id").distinct(), "jaccard-used")
     sets = written(_sets(texts.join(used, "doc_id", "left_semi"), n), "jaccard-sets")
-    size = cells.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("grams"))
+    grams = sets.select("doc_id", F.expr("octet_length(grams) div 8").alias("n"))
+    size = cells.join(grams, "doc_id").groupBy("cell").agg(F.count("*").alias("rows"), F.sum("n").alias("grams"))
     blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("grams") / BLOCK_GRAMS)).cast("int")
     size = written(size.select("cell", blocks.alias("blocks")), "jaccard-sizes")
     mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
