@@ -226,17 +226,18 @@ class Lexicon:
         """The words of each text and their entries; learns the words of many texts at a time."""
         for at in range(0, len(texts), 500):
             split = [self.codec.split(text or "") for text in texts[at : at + 500]]
-            self._learn(set().union(*split))
-            for words in split:
-                yield words, [*map(self.known.__getitem__, words)]
+            met = set().union(*split)
+            if len(self.known) > MEMORY:
+                self.known = {word: self.known[word] for word in met.intersection(self.known)}
+            self._learn(met)
+            # All at once: between two texts the caller may ask for other words.
+            yield from [(words, [*map(self.known.__getitem__, words)]) for words in split]
 
     def entries(self, words: list[str]) -> list:
         self._learn(set(words))
         return [*map(self.known.__getitem__, words)]
 
     def _learn(self, met: set[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.known = {word: self.known[word] for word in met.intersection(self.known)}
         fresh = list(met.difference(self.known))
         if not fresh:
             return

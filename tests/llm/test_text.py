@@ -269,6 +269,8 @@ def test_memory_keeps_words_that_return(monkeypatch):
     words = bpe.Lexicon(bpe.bpe(BYTE_BPE), lambda ids, raw: len(ids))
     for text in ("a b c d e", "a x y", "a b z z"):
         assert list(words.look_up([text]))[0] == [1] * len(bpe.bpe(BYTE_BPE).split(text))
+    for split, entries in words.words(["a b c", "d e f", "g h"]):
+        assert len(split) == len(entries) and words.entries([" q", " r", " s", " t"]) == [1] * 4
 
 
 # --- token counts after edits
