@@ -89,8 +89,9 @@ def enrich_city(df: DataFrame, ip_ranges: DataFrame) -> DataFrame:
     """Fill empty cities from ``ip_ranges(ip_from, ip_to, city)``, both ends inclusive, ranges disjoint.
 
     Only documented, never computed, by the original. An as-of lookup without a
-    range join: ranges are cut along the /16 networks they cover, the rows join on
-    their own /16 network, and an interval test picks the range.
+    range join: ranges are cut along the /24 networks they cover, the rows join on
+    their own /24 network, and an interval test picks the range. So a busy provider's
+    addresses spread over many keys, and a key has at most 256 ranges to test.
     """
     address = ip_to_long(F.col("ip"))
     cuts = ip_ranges.select(
@@ -99,11 +100,11 @@ def enrich_city(df: DataFrame, ip_ranges: DataFrame) -> DataFrame:
         F.col("city").alias("_city"),
     )
     cuts = cuts.withColumn(
-        "_net", F.explode(F.sequence(F.shiftright("_lo", 16), F.shiftright("_hi", 16)))
+        "_net", F.explode(F.sequence(F.shiftright("_lo", 8), F.shiftright("_hi", 8)))
     )
-    # One sorted list per network; its length is bounded by the 65,536 addresses in it.
+    # One sorted list per network; its length is bounded by the 256 addresses in it.
     nets = cuts.groupBy("_net").agg(F.sort_array(F.collect_list(F.struct("_lo", "_hi", "_city"))).alias("_ranges"))
-    joined = df.withColumn("_ip", address).withColumn("_net", F.shiftright("_ip", 16)).join(nets, "_net", "left")
+    joined = df.withColumn("_ip", address).withColumn("_net", F.shiftright("_ip", 8)).join(nets, "_net", "left")
     hit = F.filter("_ranges", lambda r: (F.col("_ip") >= r["_lo"]) & (F.col("_ip") <= r["_hi"]))
     known = F.coalesce(F.nullif(F.col("city"), F.lit("")), F.get(hit, 0)["_city"], F.lit(""))
     return joined.withColumn("city", known).select(*df.columns)

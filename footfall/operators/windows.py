@@ -193,24 +193,22 @@ def realtime_metrics(
 ) -> DataFrame:
     """PV, UV, downloads and searches per window and dimension value, as metric rows.
 
-    Each window size must be a multiple of the one before it. Users are merged per
-    smallest window and cell; the longer windows are built from those pairs.
+    Each window size must be a multiple of the one before it. Events are first merged per smallest
+    window, user and combination of dimension values, as they stand; only those rows are expanded
+    to the dimensions and to the longer windows.
     """
     for shorter, longer in zip(windows, windows[1:]):
         if interval_micros(longer) % interval_micros(shorter):
             raise ValueError(f"{longer} is no multiple of {shorter}")
-    cells = F.array(
-        *[F.struct(F.lit(d).alias("dimension"), DIMENSIONS[d]().alias("dimension_value")) for d in dims]
+    small = events.groupBy(
+        F.window("event_time", windows[0]), "user_id", *[DIMENSIONS[d]().alias(f"_{d}") for d in dims]
+    ).agg(
+        F.count("*").alias("pv"),
+        count_where(is_type("app_download")).alias("downloads"),
+        count_where(is_type("search_query")).alias("searches"),
     )
-    small = (
-        events.select("event_time", "event_type", "user_id", F.inline(cells))
-        .filter("dimension_value is not null")
-        .groupBy(F.window("event_time", windows[0]), "dimension", "dimension_value", "user_id")
-        .agg(
-            F.count("*").alias("pv"),
-            count_where(is_type("app_download")).alias("downloads"),
-            count_where(is_type("search_query")).alias("searches"),
-        )
+    cells = F.array(
+        *[F.struct(F.lit(d).alias("dimension"), F.col(f"_{d}").alias("dimension_value")) for d in dims]
     )
     start = F.col("window.start")
     spans = F.array(
@@ -221,7 +219,9 @@ def realtime_metrics(
     )
     cell = ["metric_time", "window_size", "dimension", "dimension_value"]
     values = (
-        small.select("dimension", "dimension_value", "user_id", "pv", "downloads", "searches", F.inline(spans))
+        small.select("window", "user_id", "pv", "downloads", "searches", F.inline(cells))
+        .filter("dimension_value is not null")
+        .select("dimension", "dimension_value", "user_id", "pv", "downloads", "searches", F.inline(spans))
         .groupBy(*cell, "user_id")
         .agg(*[F.sum(c).alias(c) for c in ("pv", "downloads", "searches")])
         .groupBy(*cell)

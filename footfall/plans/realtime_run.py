@@ -7,16 +7,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.windows import download_stats, funnel_windowed, pv_uv_windowed
 from footfall.session import configure_streaming
-from footfall.sinks.metrics import to_metric_rows, write_latest_snapshot
+from footfall.sinks.metrics import to_metric_rows, write_metric_stream
 from footfall.streaming.anomaly import stream_anomaly
 from footfall.streaming.jobs import stream_clean, to_table
 
 
 def run_realtime(events: DataFrame, root: str, checkpoints: str, **trigger) -> list[StreamingQuery]:
-    """Start PV/UV, download counts, the funnel, alerts and the latest-value snapshot.
+    """Start PV/UV with the latest values, download counts, the funnel and alerts.
 
     Each is its own query with its own checkpoint, so one may fail and restart without
-    the others; each reads the source at its own pace.
+    the others; each reads the source at its own pace. The metrics also fill
+    ``ads_realtime_metrics`` by day.
     """
     configure_streaming(events.sparkSession)
     clean = stream_clean(events)
@@ -24,13 +25,11 @@ def run_realtime(events: DataFrame, root: str, checkpoints: str, **trigger) -> l
     downloads = to_metric_rows(download_stats(clean), ["download_count"], "5 minutes", "app", "app_name")
     funnel_metrics = ["impression", "click", "download", "install", "click_rate", "download_rate", "install_rate"]
     funnel = to_metric_rows(funnel_windowed(clean), funnel_metrics, "10 minutes")
-    jobs = {"pv_uv": pv_uv, "downloads": downloads, "funnel": funnel, "alerts": stream_anomaly(clean)}
+    # A value is shown from the end of its window to the end of the next one, and a minute more.
+    jobs = {"pv_uv": (pv_uv, "660 seconds"), "downloads": (downloads, None), "funnel": (funnel, None)}
     queries = [
-        to_table(stream, f"{root}/realtime/{name}", f"{checkpoints}/{name}", **trigger)
-        for name, stream in jobs.items()
+        write_metric_stream(stream, root, name, f"{checkpoints}/{name}", ttl, **trigger)
+        for name, (stream, ttl) in jobs.items()
     ]
-    # A value is shown from the end of its window to the end of the next one, and a minute more.
-    queries.append(
-        write_latest_snapshot(pv_uv, f"{root}/latest", f"{checkpoints}/latest", "660 seconds", **trigger)
-    )
-    return queries
+    alerts = to_table(stream_anomaly(clean), f"{root}/realtime/alerts", f"{checkpoints}/alerts", **trigger)
+    return [*queries, alerts]

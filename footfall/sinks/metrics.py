@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.expressions import interval_micros, window_label
 from footfall.operators.daily import ALL
-from footfall.sinks.tables import complete_versions, drop_versions, new_version
+from footfall.sinks.tables import PARTITION, complete_versions, drop_versions, new_version, table_path
 
 MESSAGE = "value"
 _TIME = "yyyy-MM-dd HH:mm:ss"
@@ -148,6 +148,38 @@ def write_latest_snapshot(metric_rows: DataFrame, path: str, checkpoint: str, tt
     return writer.trigger(**trigger).start() if trigger else writer.start()
 
 
+def write_metric_stream(
+    metric_rows: DataFrame, root: str, name: str, checkpoint: str, latest_ttl: str | None = None, **trigger
+) -> StreamingQuery:
+    """Closed windows of one job into ``realtime/<name>`` and the day folders of ``ads_realtime_metrics``.
+
+    With ``latest_ttl`` also into the latest values below ``latest``, so that one query serves all
+    three. A batch writes folders named by the query and its number: run again, it overwrites them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.persist()
+        try:
+            rows = batch.withColumn("batch", F.lit(f"{query}-{batch_id}"))
+            _overwrite(rows, f"{root}/realtime/{name}", "batch")
+            dated = rows.withColumn(PARTITION, F.date_format("metric_time", "yyyy-MM-dd"))
+            _overwrite(dated, table_path(root, "ads_realtime_metrics"), PARTITION, "batch")
+            if latest_ttl:
+                merge_latest(spark, latest_values(batch, latest_ttl), f"{root}/latest", batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = metric_rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
+
+
+def _overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
+
+
 def merge_latest(spark: SparkSession, values: DataFrame, path: str, batch_id: int) -> None:
     """One batch's latest values into the stored ones. Merging a batch again changes nothing."""
     versions = complete_versions(spark, path)

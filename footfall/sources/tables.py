@@ -45,8 +45,11 @@ def read_jdbc_table(
 
     With ``date`` the day is cut into ``slices`` predicates that the database
     evaluates. Otherwise ``partition`` gives ``column, lowerBound, upperBound,
-    numPartitions`` of a numeric or time column.
+    numPartitions`` of a numeric or time column. One of the two is needed: a table is
+    never read by a single task.
     """
+    if date is None and not partition:
+        raise ValueError("give a date or the bounds of a partition column")
     options = {"fetchsize": "10000", **(properties or {})}
     if date is not None:
         return spark.read.jdbc(url, table, predicates=day_slices(date, slices=slices), properties=options)

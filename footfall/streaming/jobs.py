@@ -163,11 +163,12 @@ def split_late(events: DataFrame, path: str, checkpoint: str, delay: str = WATER
 def followed_within(first: DataFrame, then: DataFrame, within: str) -> DataFrame:
     """Stream-stream interval join: rows of ``first`` whose user has a row of ``then`` at most ``within`` later.
 
-    A semi-join: each row comes out once, however many rows follow, and no pairs are
-    made. Both inputs carry a watermark on ``event_time``, which bounds the state.
+    A semi-join: each row (id, user, time) comes out once, however many rows follow, and no pairs
+    are made. Rows of ``then`` with one user and time are one. Both inputs carry a watermark on
+    ``event_time``, which bounds the state.
     """
-    a = first.alias("a")
-    b = then.select("user_id", "event_time").alias("b")
+    a = first.select("event_id", "user_id", "event_time").alias("a")
+    b = then.select("user_id", "event_time").dropDuplicates(["user_id", "event_time"]).alias("b")
     on = F.expr(
         "a.user_id = b.user_id and b.event_time > a.event_time "
         f"and b.event_time <= a.event_time + interval {within}"

@@ -66,3 +66,24 @@ def test_city_from_ip(spark, make_events):
     ).filter("ip <> 'bad'")
     got = rows(clean.enrich_city(events, ranges), "ip", "city")
     assert got == [("10.0.0.255", "A"), ("10.0.0.9", "kept"), ("10.0.1.0", "B"), ("10.1.7.7", "B"), ("10.2.1.0", "")]
+
+
+def test_ties_do_not_depend_on_the_columns_asked_for(make_events):
+    same = {"event_id": "a", "server_time": dt.datetime(2026, 7, 11)}
+    copies = [("u", "page_view", "2026-07-09 10:00:00", {**same, "city": "z"}), ("u", "page_view", "2026-07-10 10:00:00", {**same, "city": "a"})]
+    events = make_events(copies)
+    assert rows(clean.ods_to_dwd(events), "event_time") == rows(clean.ods_to_dwd(events, ["city"]), "event_time")
+
+
+def test_rows_without_an_id_are_counted_not_merged(make_events):
+    events = make_events([("u", "page_view", "2026-07-10 10:00:00", {"event_id": None})] * 2 + [("u", "page_view", "2026-07-10 10:00:00")])
+    assert clean.ods_to_dwd(events).count() == 1
+    assert rows(clean.cleaning_report(events)) == [(3, 2, 1, 1, 1)]
+
+
+def test_city_of_a_busy_network(spark, make_events):
+    ranges = spark.createDataFrame([("10.0.0.0", "10.0.255.255", "A"), ("10.1.0.7", "10.1.0.7", "B"), ("10.1.0.8", "10.2.3.4", "C")], "ip_from string, ip_to string, city string")
+    ips = ["10.0.0.0", "10.0.200.9", "10.0.255.255", "10.1.0.6", "10.1.0.7", "10.1.0.8", "10.2.3.4", "10.2.3.5"]
+    events = make_events([("u", "page_view", "2026-07-10 10:00:00", {"city": "", "ip": ip}) for ip in ips])
+    got = {r.ip: r.city for r in clean.enrich_city(events, ranges).collect()}
+    assert [got[ip] for ip in ips] == ["A", "A", "A", "", "B", "C", "C", ""]

@@ -124,3 +124,13 @@ def test_config(spark, make_events):
     assert rows(config.selectExpr("experiment_id", "traffic_split['A']")) == [(EXP, 50), ("exp_002_search_ranking", 60)]
     events = make_events([("a", "page_view", f"{d} 10:00:00", group("A")) for d in ("2026-07-09", "2026-07-10", "2026-07-21")])
     assert experiment.within_dates(experiment.ab_metrics(events), config).select("stat_date").distinct().count() == 1
+
+
+def test_assignment_within_dates(make_events):
+    at = ["2020-01-01 10:00:00", "2026-07-12 10:00:00", "2026-07-19 10:00:00"]
+    events = make_events([("u", "page_view", t, {"event_id": f"{t}{i}"}) for t in at for i in range(20)] + [(None, "page_view", at[1])])
+    got = experiment.assign_experiment(events, time_col="event_time").select("event_time", "user_id", "experiment_id", "variant").collect()
+    of = lambda t: {r.experiment_id for r in got if str(r.event_time) == t and r.user_id}
+    assert of(at[0]) == {""} and of(at[1]) == {"exp_001_home_rec_algo", "exp_002_search_ranking"}
+    assert of(at[2]) == {"exp_001_home_rec_algo", ""}
+    assert [(r.experiment_id, r.variant) for r in got if r.user_id is None] == [("", "")]

@@ -97,3 +97,11 @@ def test_windowed_counts_events(make_events):
                           ("b", "ad_click", f"{DAY} 10:29:59")])
     got = rows(funnel_windowed(events), "window_start", "impression", "click", "click_rate")
     assert got == [(dt.datetime(2026, 7, 10, 10, 0), 0, 2, 0.0), (dt.datetime(2026, 7, 10, 10, 20), 1, 1, 100.0)]
+
+
+def test_ordered_chain_over_midnight(make_events):
+    steps = [("u", "ad_impression", "2026-07-10 23:50:00"), ("u", "ad_click", "2026-07-11 00:05:00"), ("u", "app_download", "2026-07-11 00:06:00")]
+    late = [("v", "ad_impression", "2026-07-10 10:00:00"), ("v", "ad_click", "2026-07-11 10:00:01")]
+    counts = lambda *days: [r.user_count for r in funnel_ordered(make_events(steps + late), days or None).orderBy("stat_date", "step_order").collect()]
+    assert counts() == [2, 1, 1, 0]
+    assert counts("2026-07-10") == [2, 1, 1, 0] and counts("2026-07-11") == [0, 0, 0, 0]

@@ -11,6 +11,7 @@ from footfall.plans.reports import get_realtime
 from footfall.session import configure_streaming
 from footfall.sinks import metrics
 from footfall.sources.events import stream_events_jsonl
+from footfall.sources.tables import read_layer
 from footfall.streaming import anomaly, jobs
 from tests.conftest import rows
 
@@ -156,6 +157,45 @@ def test_realtime_jobs_and_snapshot(spark, feed):
     assert downloads.filter("dimension_value = 'A' and metric_value = 1").count() == 5
     funnel = spark.read.parquet(f"{root}/realtime/funnel").filter("metric_name = 'click'")
     assert rows(funnel, "metric_value", "window_size") == [(1.0, "10m")]
+    table = read_layer(spark, root, "ads_realtime_metrics", DAY, DAY)
+    assert rows(table.filter("metric_name = 'pv' and window_size = '5m'"), "metric_value") == [(1.0,), (2.0,)]
+    assert {r.metric_name for r in table.collect()} >= {"pv", "uv", "download_count", "click"}
+    assert read_layer(spark, root, "ads_realtime_metrics", "2026-07-11").count() == 0
     shown = lambda now: rows(get_realtime(spark, f"{root}/latest", now))
     assert shown(f"{DAY} 10:10:00") == [(1, 1)]
     assert shown(f"{DAY} 11:00:00") == [(0, 0)]
+
+
+def test_latest_values_survive_batches_without_them(spark, tmp_path):
+    """App1 in the first batch, App2 in the second: both stay; an old value goes once it has expired."""
+    at = lambda minute: dt.datetime(2026, 7, 10, 10, minute)
+    columns = "metric_name string, dimension string, dimension_value string, window_size string, metric_time timestamp, metric_value double"
+    put = lambda n, *values: metrics.merge_latest(
+        spark, metrics.latest_values(spark.createDataFrame([("d", "app", a, "5m", at(m), v) for a, m, v in values], columns), "10 minutes"), str(tmp_path), n
+    )
+    shown = lambda: rows(metrics.read_latest(spark, str(tmp_path), f"{DAY} 10:06:00"), "dimension_value", "metric_value")
+    assert shown() == []
+    put(0, ("App1", 0, 1.0), ("", 0, 7.0))
+    put(1, ("App2", 5, 2.0))
+    assert shown() == [("", 7.0), ("App1", 1.0), ("App2", 2.0)]
+    put(1, ("App2", 5, 2.0))  # once more
+    put(0, ("App1", 12, 3.0))  # a new checkpoint counts from 0 again
+    assert shown() == [("App1", 3.0), ("App2", 2.0)]
+
+
+def test_running_counts_with_a_new_checkpoint(spark, feed):
+    root = f"{feed.root}/daily"
+    feed(("a", "page_view", "10:00:00"), ("b", "app_download", "10:01:00"), ("a", "page_view", "10:03:00"))
+    start = lambda name: jobs.incremental_daily(jobs.clean_stateless(feed.stream()), root, f"{root}-{name}", availableNow=True).awaitTermination()
+    start("one")
+    feed(*[("c", "page_view", f"11:0{i}:00") for i in range(5)])
+    start("two")
+    assert rows(jobs.read_incremental_daily(spark, root), "pv", "uv") == [(8, 3)]
+
+
+def test_newest_copy_on_the_stream(spark, feed):
+    copy = lambda city, server: ("u", "page_view", "10:00:00", {"event_id": "x", "city": city, "server_time": dt.datetime(2026, 7, 10, 10, 0, server)})
+    feed(copy("old", 1), copy("new", 3), copy("mid", 2))
+    feed(("u", "page_view", "10:00:30"))
+    out, _ = run(spark, jobs.stream_clean_newest(feed.stream()), feed.root)
+    assert rows(out, "event_id", "city") == [("x", "new")]

@@ -3,13 +3,15 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from footfall.plans import reports
 from footfall.plans.daily_run import run_daily
 from footfall.sinks import metrics, tables
 from footfall.sources import events as sources
-from footfall.sources.tables import day_slices, read_layer
+from footfall.sources.tables import day_slices, read_jdbc_table, read_layer
 from footfall.sources.testdata import ods
 from tests.conftest import SF, rows
 
@@ -73,6 +75,9 @@ def test_jsonl_and_decode(spark, tmp_path):
         ("1", dt.datetime(2026, 7, 10, 10), "{}", 0, ""),
         ("2", None, "{}", 0, ""),
     ]
+    (tmp_path / "b.json").write_text("\n".join(["", *lines[2:]]))
+    events, rejects = sources.decode_jsonl(spark, str(tmp_path))
+    assert events.count() == 2 and rows(rejects) == [("17",), ("{broken",)]
     messages = spark.createDataFrame([(None, bytearray(x.encode())) for x in lines] + [(None, None)], "key binary, value binary")
     good, rejects = sources.decode_events(messages)
     assert [r.event_id for r in good.orderBy("event_id").collect()] == ["1", "2"]
@@ -141,3 +146,8 @@ def test_days_in_any_order(spark, tmp_path):
     for order, got in found.items():
         for name in names:
             assert got[name] == first[name], (order, name)
+
+
+def test_a_database_table_is_never_read_by_one_task(spark):
+    with pytest.raises(ValueError):
+        read_jdbc_table(spark, "jdbc:none", "t")
