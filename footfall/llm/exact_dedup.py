@@ -60,7 +60,9 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     Rows that repeat id and text become one. Rows of different texts may share an id: the digest is
     part of the join.
     """
-    keep = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    kept = exact_dedup(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    keep = written(kept.agg(F.count("*").alias("n")), "exact-kept")
     same = docs["doc_id"].eqNullSafe(keep["kept_id"]) & (F.sha2(normalised("text"), 256) == keep["kept_sha"])
     matched = docs.join(keep, same, "left_semi")
-    return matched.dropDuplicates(["doc_id", "text"])
+    # Only where rows repeat is the text shuffled once more.
+    return matched if keep.filter("n > 1").isEmpty() else matched.dropDuplicates(["doc_id", "text"])

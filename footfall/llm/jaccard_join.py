@@ -25,9 +25,11 @@ BLOCK_GRAMS = 1_000_000
 DENSE_ROWS = 16
 #: How often a set is dealt out anew that leaves too many parts empty, before empty parts count as equal.
 SEEDS = 8
+#: Dealings that a key's label tells apart; one more class of size would be beyond any text.
+SCHEMES = 1024
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_S30, _S27, _S31, _S32 = (np.uint64(x) for x in (30, 27, 31, 32))
+_S30, _S27, _S31, _S14 = (np.uint64(x) for x in (30, 27, 31, 14))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -79,23 +81,27 @@ class SizeClasses:
         return int(np.searchsorted(self.array, size, side="right")) - 1
 
     @cache
-    def parts(self, c: int) -> tuple[int, int]:
-        """How many parts, and how many of them may be empty, for sets of class c and larger partners.
-
-        The parts are one more than such sets can differ in and than may be empty. That is what
-        chance rarely exceeds, where there are such numbers; else none.
+    def parts(self, c: int) -> tuple[int, int, int]:
+        """Of the dealing for sets of class c and larger partners: how many parts, how many of them may
+        be empty, and in how many full ones sets that link agree at least.
+
+        The parts are as many as such sets can differ in, plus the two other numbers. What may be
+        empty is what chance rarely exceeds. Asking for more than one part in common costs a few
+        parts and spares most sets that agree in one by chance. Where there are no such numbers,
+        it is one part and no empty one.
         """
         most = self.bounds[c + 1] - 1
         both = most + most * self.t.denominator // self.t.numerator
         differ = int(both * (1 - self.t) / (1 + self.t))
-        k = differ + 1
+        common = max(1, differ // 10)
+        k = differ + common
         while differ and k <= 2 * (differ + 1):
             mean = k * math.exp(-self.bounds[c] / k)
             empty = math.ceil(mean + 4 * math.sqrt(mean))
-            if differ + 1 + empty <= k:
-                return k, k - differ - 1
-            k = differ + 1 + empty
-        return differ + 1, 0
+            if differ + common + empty <= k:
+                return k, k - differ - common, common
+            k = differ + common + empty
+        return differ + 1, 0, 1
 
     def links(self, overlap, a, b):
         """Overlap needed by sizes, in whole numbers."""
@@ -114,7 +120,7 @@ def part_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     """
     c, keys = classes.of(len(grams)), []
     for scheme in (c, c - 1):
-        k, allowed = classes.parts(scheme) if scheme >= 0 else (1, 0)
+        k, allowed, _ = classes.parts(scheme) if scheme >= 0 else (1, 0, 1)
         if k == 1:
             continue  # only equal sets link, and they are one row
         edges = np.array([(j << 64) // k for j in range(1, k)], np.uint64)
@@ -126,15 +132,20 @@ def part_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
             full = np.flatnonzero(cuts[1:] > cuts[:-1])
             sums = np.add.reduceat(_mixed(dealt * _M1 + _M3), cuts[full])
             place = np.uint64(scheme << 40 | seed << 34) + full.astype(np.uint64)
-            keys.append(_mixed(_mixed(sums) + place * _M1))
+            keys.append(_labelled(_mixed(_mixed(sums) + place * _M1), scheme, seed))
             if k - len(full) <= allowed:
                 break
             if seed == SEEDS - 1:
                 empty = np.setdiff1d(np.arange(k), full).astype(np.uint64)
-                keys.append(_mixed((np.uint64(scheme << 40 | SEEDS << 34) + empty) * _M1))
+                keys.append(_labelled(_mixed((np.uint64(scheme << 40 | SEEDS << 34) + empty) * _M1), scheme, seed))
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
+def _labelled(hashes: np.ndarray, scheme: int, seed: int) -> np.ndarray:
+    """The lowest bits of a key tell its dealing."""
+    return (hashes >> _S14 << _S14) | np.uint64(scheme % SCHEMES << 4 | seed)
+
+
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, grams as bytes."""
 
@@ -187,8 +198,8 @@ def jaccard_join(
     """doc_id, n_shingles, component_id: links between sets of n-grams, and the smallest id they lead to.
 
     1. Equal sets become one row of the incidence matrix, named by its smallest id.
-    2. The columns are dealt into parts by sizes alone (see :func:`part_keys`). Rows that agree in a
-       part may link; all others are discarded unseen.
+    2. The columns are dealt into parts by sizes alone (see :func:`part_keys`). Rows that agree in as
+       many parts as their sizes demand may link; all others are discarded unseen.
     3. All rows of a part go to the cell of its hub, the row that meets most others. Cells are cut
        into blocks of bounded size, and each pair of blocks is one product: it accumulates overlap
        counts, discards pairs below the bound of their sizes, and gives links that span the rest. A
@@ -209,8 +220,8 @@ def jaccard_join(
     met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1").select("doc_id", "key")
     # Equal sets have equal keys, so their smallest id is among those that met.
     met = written(met.join(rows.select(F.col("row_id").alias("doc_id")), "doc_id", "left_semi"), "jaccard-parts")
-    met = met.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    met = written(met, "jaccard-rows-met")
+    for _ in range(2):
+        met = written(_enough_in_common(met, classes), "jaccard-rows-met")
     cells = written(_cells(met), "jaccard-cells")
     links = written(_products(cells, texts, n, classes), "jaccard-links")
     labels = connected_components(links).select(F.col("node").alias("row_id"), "component")
@@ -231,6 +242,17 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
+def _enough_in_common(met: DataFrame, classes: SizeClasses) -> DataFrame:
+    """doc_id, key, n: of parts that ``n`` rows agree in, those of rows with enough such parts in a dealing."""
+    least = [(scheme % SCHEMES, classes.parts(scheme)[2]) for scheme in range(min(SCHEMES, len(classes.bounds) - 1))]
+    least = F.create_map(*[F.lit(x) for pair in least for x in pair])
+    shared = met.select("doc_id", "key", F.count("*").over(Window.partitionBy("key")).alias("n")).filter("n > 1")
+    label = F.col("key").bitwiseAND(SCHEMES * 16 - 1)
+    counted = shared.withColumn("parts", F.count("*").over(Window.partitionBy("doc_id", label)))
+    needed = F.try_element_at(least, F.shiftright(label, 4).cast("int"))
+    return counted.filter(F.col("parts") >= needed).drop("parts")
+
+
 def _cells(met: DataFrame) -> DataFrame:
     """cell, doc_id: each part's rows in the cell of the part's hub."""
     score = written(met.groupBy("doc_id").agg(F.sum("n").alias("score")), "jaccard-scores")
