@@ -223,18 +223,21 @@ def test_jaccard_join_cases(make_docs):
     assert jaccard_join.jaccard_join(make_docs([])).count() == 0
 
 
-def test_sets_with_an_empty_part_still_meet():
-    """Sets that agree in an empty part only are dealt out again."""
-    classes = jaccard_join.SizeClasses(jaccard_join.Fraction(90, 100))
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_sets_with_an_empty_part_still_meet(percent):
+    """Linked sets agree in as many parts of a dealing as it demands, whatever they leave empty."""
+    classes = jaccard_join.SizeClasses(jaccard_join.Fraction(percent, 100))
     rng = np.random.default_rng(1)
-    for size in (12, 25, 60, 200):
-        allowed = (2 * size) // 19
+    for size in (12, 25, 60, 200, 700):
+        allowed = (2 * size * (100 - percent)) // (100 + percent)
         for _ in range(150):
             a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
             b = np.sort(np.concatenate((a[allowed // 2 :], rng.integers(0, 2**63, allowed // 2, dtype=np.uint64))))
             overlap = len(np.intersect1d(a, b))
             if classes.links(overlap, len(a), len(b)):
-                assert set(jaccard_join.part_keys(a, classes)) & set(jaccard_join.part_keys(b, classes))
+                common = set(jaccard_join.part_keys(a, classes).tolist()) & set(jaccard_join.part_keys(b, classes).tolist())
+                dealings = Counter(key % (16 * jaccard_join.SCHEMES) for key in common)
+                assert any(n >= classes.parts(label >> 4)[2] for label, n in dealings.items()), (size, percent)
 
 
 def test_op6_whole_table(spark):
