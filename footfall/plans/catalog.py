@@ -331,6 +331,7 @@ def queries() -> dict[str, Query]:
         "ab_welch_stat": _welch,
         "ab_significance": lambda s, d: significance.ab_significance(_samples(s, d)),
         "ab_tested_results": _tested_results,
+        "ab_pivot_tested": lambda s, d: experiment.ab_pivot(_tested_results(s, d)),
         "ab_report": lambda s, d: experiment.ab_report(_tested_results(s, d)),
         # Windows, sessions and alerts
         "pv_uv_5m": on(windows.pv_uv_windowed),

@@ -430,6 +430,56 @@ def _log_pmf(x: str) -> str:
     return f"({part('a + b', x)} + {part('c + d', f'a + c - {x}')} - {part('a + b + c + d', 'a + c')})"
 
 
+def _below(density: str, upper: str, rows: str) -> str:
+    """``rows`` with ``inside``, the integral of ``density`` of x from 0 to ``upper``, by Simpson's rule."""
+    return f"""select {_PAIR}, sum(weight * {density}) * any_value({upper}) / 3000 as inside
+from (select *, {upper} * i / 1000 as x, case when i in (0, 1000) then 1.0 when i % 2 = 1 then 4.0 else 2.0 end as weight
+      from {rows}, range(0, 1001) r(i)) group by {_PAIR}"""
+
+
+_STUDENT = "exp(lgamma((v + 1) / 2) - lgamma(v / 2) - ln(v * pi()) / 2 - (v + 1) / 2 * ln(1 + x * x / v))"
+_NORMAL = "exp(-x * x / 2) / sqrt(2 * pi())"
+
+_SIGNIFICANCE = {
+    **_TESTS,
+    "chosen": f"""select *, case when n_a < 5 or n_b < 5 then 'none' when other = 0 then 'fisher'
+  when metric_name = 'avg_duration' then 'welch' else 'mann_whitney' end as test from stats""",
+    "fishers": f"""select {_PAIR}, least(1.0, sum(case when lp <= observed + ln(1 + 1e-7) then exp(lp) else 0 end)) as p
+from (select *, {_log_pmf('x')} as lp, {_log_pmf('a')} as observed from
+  (select *, unnest(range(greatest(0, a + c - (c + d)), least(a + b, a + c) + 1)) as x from tables)) group by {_PAIR}""",
+    "welches": f"""select {_PAIR}, abs(mean_a - mean_b) / sqrt(va + vb) as t,
+  (va + vb) * (va + vb) / (va * va / (n_a - 1) + vb * vb / (n_b - 1)) as v
+from (select *, var_a / n_a as va, var_b / n_b as vb from chosen where test = 'welch') where va + vb > 0""",
+    "ranks": f"""select {_PAIR}, case when spread > 0 then (greatest(u, n_a * n_b - u) - n_a * n_b / 2::double - 0.5) / sqrt(spread) end as z
+from (select *, cast(n_a as double) * n_b / 12 * ((n_a + n_b + 1) - ties / (cast(n_a + n_b as double) * (n_a + n_b - 1))) as spread
+  from (select {_PAIR}, {_n("variant='A'")} as n_a, {_n("variant='B'")} as n_b,
+    sum(case when variant='A' then mid end) - {_n("variant='A'")} * ({_n("variant='A'")} + 1) / 2::double as u,
+    sum(cast(t as double) * t - 1) as ties
+    from (select *, rank() over (partition by {_PAIR} order by value) + (t - 1) / 2::double as mid
+          from (select *, count(*) over (partition by {_PAIR}, value) as t from samples where metric_name <> 'avg_duration'))
+    group by {_PAIR}))""",
+    "welch_inside": _below(_STUDENT, "t", "welches"),
+    "rank_inside": _below(_NORMAL, "z", "(select * from ranks where z is not null)"),
+    "p_values": f"""select {_PAIR}, c.n_a, c.n_b, test, case test when 'fisher' then f.p when 'welch' then 1 - 2 * w.inside
+  when 'mann_whitney' then case when r.inside is null then 1.0 else least(1.0, 1 - 2 * r.inside) end end as p
+from chosen c left join fishers f using ({_PAIR}) left join welch_inside w using ({_PAIR}) left join rank_inside r using ({_PAIR})""",
+    "tests": f"""select {_PAIR}, n_a, n_b, test, case when p is null then -1.0 else {half_up('p', 6)} end as p_value,
+  case when p < 0.05 then 1 else 0 end as is_significant from p_values""",
+}
+
+
+def _tested(select: str) -> str:
+    tested = f"""select r.experiment_id, r.stat_date, variant, r.metric_name, metric_value, metric_unit, user_count,
+  coalesce(t.p_value, -1.0) as p_value, coalesce(t.is_significant, 0) as is_significant, uplift, '' as sample_data
+from results r left join tests t using ({_PAIR})"""
+    return _q(select, **(_results() | _SIGNIFICANCE), tested=tested)
+
+
+_SIDE_BY_SIDE = (
+    "max(case when variant='A' then metric_value end) as a_value, max(case when variant='B' then metric_value end) as b_value"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     user_number = "cast(substr(user_id, 6) as bigint)"
     ranges = ", ".join(f"({_ip_sql(repr(lo))}, {_ip_sql(repr(hi))}, '{c}')" for lo, hi, c in IP_RANGES)
@@ -600,6 +650,17 @@ from (select event_id, user_id, case when cast('0x' || substr(md5(concat_ws('_',
   max(uplift) as uplift, '' as marker from results group by 1, 2, 3, 4""",
             **_results(),
         ),
+        "ab_significance": _q("select * from tests", **_SIGNIFICANCE),
+        "ab_tested_results": _tested("select * from tested"),
+        "ab_report": _tested(
+            f"""select * from (select {_PAIR}, {_SIDE_BY_SIDE}, max(uplift) as uplift, max(p_value) as p_value,
+  max(is_significant) as is_significant from tested group by {_PAIR}) where a_value is not null and b_value is not null"""
+        ),
+        "ab_pivot_tested": _tested(
+            f"""select {_PAIR}, metric_unit, {_SIDE_BY_SIDE}, max(uplift) as uplift,
+  case when max(is_significant) = 1 then '✅' when max(p_value) >= 0 then '❌' else '' end as marker
+from tested group by {_PAIR}, metric_unit"""
+        ),
         "ab_hypothesis": _q(
             """select r.experiment_id, stat_date, r.metric_name, uplift, min_uplift,
   case when uplift >= min_uplift then 1 else 0 end as is_met
