@@ -129,5 +129,61 @@ from rows join (
 """
 
 
+OP6 = r"""
+with recursive texts as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+),
+sets as (
+    select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+    from texts
+),
+rows as (select doc_id, len(s) as n, unnest(s) as g from sets),
+links as (
+    select a.doc_id as a, b.doc_id as b from rows a join rows b on a.g = b.g and a.doc_id <> b.doc_id
+    group by a.doc_id, a.n, b.doc_id, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, len(s) as n_shingles, least(doc_id, coalesce((select min(b) from reach where a = doc_id), doc_id)) as component_id
+from sets
+"""
+
+OP9 = r"""
+with base as (
+    select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+),
+raw as (select doc_id, source, text, unnest(string_split(text, chr(10))) as line from base),
+lines as (
+    select *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) as norm from raw
+    where regexp_matches(line, '[^\x20\x09-\x0D]')
+),
+dups as (select doc_id, count(*) - count(distinct line) as n_dup_lines from lines group by doc_id),
+frequent as (select source, norm from lines group by source, norm having count(distinct text) > 30),
+met as (
+    select doc_id, sum(len(string_split(l.norm, ' '))) as n_line_words
+    from lines l join frequent f on f.source is not distinct from l.source and f.norm = l.norm group by doc_id
+),
+windows as (
+    select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from base, lateral (select unnest(range(1, len(w) - 1)) as i)
+),
+again as (select doc_id, g from windows group by doc_id, g having count(*) > 1),
+repeated as (
+    select doc_id, count(distinct i + k) as n_repeat_words from windows join again using (doc_id, g), range(0, 3) x(k) group by doc_id
+),
+counts as (
+    select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+        coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+        cast(coalesce(n_line_words, 0) as bigint) as n_line_words
+    from base left join dups using (doc_id) left join repeated using (doc_id) left join met using (doc_id)
+)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 100 * (n_words - n_line_words) >= 30 * n_words as kept
+from counts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1}
+    return {"op1_exact_dedup": OP1, "op6_jaccard_join": OP6, "op9_quality_rules": OP9}
