@@ -9,7 +9,7 @@ from footfall.sources.testdata import read_raw_events
 from tests.conftest import SF
 
 BATCH = [n for n in catalog.queries() if not n.startswith("stream_") and n not in ("layer_days", "jsonl_events")]
-PYTHON = {"ab_fisher", "ab_significance", "ab_tested_results", "ab_report"}
+PYTHON = {"ab_fisher", "ab_significance", "ab_tested_results", "ab_report", "ab_pivot_tested"}
 
 
 def plan_of(df):
@@ -65,3 +65,24 @@ def test_unused_columns_are_not_shuffled(spark):
     scan = plan[plan.rindex("ReadSchema") :]
     assert "value" not in scan.split(">")[0]
     assert "AS properties" not in plan and "md5" not in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["kpi_snapshot", "top_downloads_of_day", "top_downloads", "daily_trend", "hourly_trend", "ttl_filter", "new_users_of_day", "funnel_steps_of_days"]
+)
+def test_days_are_filtered_before_copies_are_dropped(spark, name):
+    """The day range stands below the shuffle by event id, at the scan."""
+    plan = plan_of(catalog.queries()[name](spark, SF))
+    below = plan[plan.index("Exchange hashpartitioning(event_id") :]
+    assert re.search(r"Filter .*ts#|DataFilters: \[[^\]]*ts", below), below[:1500]
+
+
+def test_kpi_reads_only_its_day_folders(spark, tmp_path):
+    from footfall.plans import reports
+    from footfall.sinks.tables import write_layer
+    from footfall.sources.tables import read_layer
+
+    write_layer(catalog.dwd(spark, SF), str(tmp_path), "dwd_user_behavior")
+    events = read_layer(spark, str(tmp_path), "dwd_user_behavior")
+    plan = plan_of(reports.kpi_snapshot(events, "2024-01-20 00:02:00"))
+    assert re.search(r"PartitionFilters: \[[^\]]*2024-01-19", plan) and "2024-01-20" in plan
