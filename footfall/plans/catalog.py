@@ -21,6 +21,7 @@ from footfall.operators import (
     windows,
 )
 from footfall.plans import reports
+from footfall.plans.realtime_run import run_realtime
 from footfall.session import scratch_dir
 from footfall.sinks import metrics, tables
 from footfall.sources import events as event_source
@@ -206,6 +207,24 @@ def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_incremental_daily(spark, f"{folder}/out")
 
 
+def _realtime_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The realtime job over all there is: what its streams left in the metric table."""
+    folder = scratch_dir(spark, "realtime")
+    for query in run_realtime(ods_stream(spark, sf_dir), folder, f"{folder}/checkpoints", availableNow=True):
+        query.awaitTermination()
+    table = read_layer(spark, folder, "ads_realtime_metrics")
+    return table.select("metric_time", "metric_name", "metric_value", "dimension", "dimension_value", "window_size")
+
+
+def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without days, written for some days first, then for all: nothing of the first is left."""
+    root = scratch_dir(spark, "refresh")
+    for days in (("2024-01-01", "2024-01-10"), None):
+        rows = profile.user_profile(detail(spark, sf_dir, "device_model", days=days))
+        tables.write_layer(rows, root, "ads_user_profile")
+    return read_layer(spark, root, "ads_user_profile")
+
+
 def _lookup(table: str, build: Callable[[DataFrame], DataFrame], read: Callable, *columns: str) -> Query:
     """Write a result table, look up in it."""
 
@@ -267,6 +286,7 @@ def queries() -> dict[str, Query]:
             ods(s, d).select("event_id", "event_time", "server_time", "city"), ["event_id", "event_time"], "server_time"
         ),
         "summing_merge": _summing_merge,
+        "full_refresh": _full_refresh,
         "ttl_filter": on(lambda e: tables.apply_ttl(e.select("event_id", "event_time"), "event_time", 7, AS_OF), days=("2024-01-24", AS_OF)),
         "layer_days": _layer_days,
         "jsonl_events": _jsonl_events,
@@ -365,6 +385,7 @@ def queries() -> dict[str, Query]:
         "stream_clean": _stream_clean,
         "stream_clean_newest": lambda s, d: jobs.run_available(jobs.stream_clean_newest(ods_stream(s, d)), "stream"),
         "stream_daily": _stream_daily,
+        "stream_realtime_tables": _realtime_tables,
         "stream_pv_uv": stream(windows.pv_uv_windowed),
         "stream_downloads": stream(windows.download_stats),
         "stream_funnel": stream(windows.funnel_windowed),

@@ -480,6 +480,9 @@ _SIDE_BY_SIDE = (
 )
 
 
+_FUNNEL_METRICS = (*_STEP_NAMES, *(f"{n}_rate" for n in _STEP_NAMES[1:]))
+
+
 def oracle_sql() -> dict[str, str]:
     user_number = "cast(substr(user_id, 6) as bigint)"
     ranges = ", ".join(f"({_ip_sql(repr(lo))}, {_ip_sql(repr(hi))}, '{c}')" for lo, hi, c in IP_RANGES)
@@ -518,6 +521,7 @@ from parts group by 1, 2""",
             parts=f"""select {_DAY} as stat_date, event_type, hour(event_time) % 2 as part, count(*) as pv,
   min(city) as first_city from dwd group by 1, 2, 3""",
         ),
+        "full_refresh": _q("select * from profile", profile=_PROFILE),
         "ttl_filter": _q(
             "select event_id, event_time from dwd where event_time > timestamp '2024-01-31' - interval '7' day"
         ),
@@ -775,6 +779,14 @@ where c < c1 and c1 < c2 and c2 < c3 and cast(c - c3 as double) / c3 < -0.6"""
         "stream_clean_newest": _q(
             "select * from dwd where event_time < (select until from closed)"
         ),
+        "stream_realtime_tables": f"""select window_start as metric_time, metric_name, metric_value, 'all' as dimension,
+  'all' as dimension_value, '5m' as window_size from (select window_start, cast(pv as double) as pv, cast(uv as double) as uv
+  from ({_pv_uv(300, "dwd", _closed(300))})) unpivot (metric_value for metric_name in (pv, uv))
+union all select window_start, 'download_count', cast(download_count as double), 'app', app_name, '5m'
+from ({_q(_downloads(300, 60, "dwd", _closed(300)))})
+union all select window_start, metric_name, metric_value, 'all', 'all', '10m' from (select window_start,
+  {", ".join(f"cast({n} as double) as {n}" for n in _FUNNEL_METRICS)} from ({_funnel_windowed("dwd", _closed(600))}))
+  unpivot (metric_value for metric_name in ({", ".join(_FUNNEL_METRICS)}))""",
         "stream_daily": _q(
             f"""select {_DAY} as stat_date, count(*) as pv, count(distinct user_id) as uv,
   {_n("event_type='app_download'")} as download_count, {_n("event_type='search_query'")} as search_count from live group by 1"""
