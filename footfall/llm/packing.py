@@ -112,7 +112,8 @@ class WordTokens:
         fresh = list(met.difference(self.known))
         plain = [word for word in fresh if word.isalpha() and _is_latin(word)]
         if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
+            coded = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, dtype="<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             raw = ids.tobytes()
             for word, a, b in zip(plain, [0, *stops[:-1]], stops, strict=True):
