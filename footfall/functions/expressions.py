@@ -62,6 +62,7 @@ def app_name(default: str | None = "unknown") -> Column:
     return json_field("app_name", default)
 
 
+# The labels and limits of the next two.
 def activity_level(total: Column) -> Column:
     return (
         F.when(total >= 100, "高活跃")
