@@ -18,37 +18,87 @@ RUN = 3
 MIN_WORDS = 10
 #: A longer sentence counts as several, each of so many words from its start.
 MAX_WORDS = 16
+#: Short sentences in a row, whose runs would have too few words, are joined and cut into so many words at most.
+MAX_JOINED = 8
+#: A cut stands behind a word whose hash is the least of so many words to each side.
+REACH = 3
 
+#: Letters of scripts that set no spaces between words: each counts as a word.
+_WIDE = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U000323af"
 _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]*\s*")
-_WORD = re.compile(r"\S+\s*")
+_WORD = re.compile(rf"[{_WIDE}]\s*|[^\s{_WIDE}]+\s*")
+_HAS_WIDE = re.compile(rf"[{_WIDE}]")
 
 
-def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
-    """The text in order and complete: sentences end with marks or a line, with the white space behind."""
-    found = []
+def n_words(text: str) -> int:
+    return len(text.split()) if text.isascii() or not _HAS_WIDE.search(text) else len(_WORD.findall(text))
+
+
+def content_cuts(text: str, limit: int) -> list[str]:
+    """The text in pieces of at most ``limit`` words, cut where the words around say so.
+
+    A passage is so cut at the same words whatever stands before it, from its first such word on: only cuts at
+    the limit count from the cut before. Words that repeat with a period are cut at multiples of it; pieces have
+    more words than REACH, but for the last.
+    """
+    matches = list(_WORD.finditer(text))
+    hashes = [xxhash.xxh32_intdigest(m.group().rstrip().lower().encode("utf-8", "surrogatepass")) for m in matches]
+    found, at, last, n = [], 0, -1, len(hashes)
+    for k in range(n - 1):
+        own = hashes[k]
+        length = k - last
+        if length == limit or (
+            length > REACH and own != hashes[k + 1] and own == min(hashes[max(0, k - REACH) : k + REACH + 1])
+        ):
+            found.append(text[at : matches[k].end()])
+            at, last = matches[k].end(), k
+    found.append(text[at:])
+    return found
+
+
+def fixed_cuts(sentence: str, max_words: int) -> list[str]:
+    at, found, ends = 0, [], [word.end() for word in _WORD.finditer(sentence)]
+    for k in range(max_words - 1, len(ends), max_words):
+        found.append(sentence[at : ends[k]])
+        at = ends[k]
+    return found + [sentence[at:]] if at < len(sentence) else found
+
+
+def sentences(text: str, max_words: int = MAX_WORDS, run: int = RUN, min_words: int = MIN_WORDS) -> list[str]:
+    """The text in order and complete: sentences end with marks or a line, with the white space behind.
+
+    Neighbours that stand in no run of enough words are joined, and cut by content, so that their runs have as many.
+    """
+    pieces = []
     for match in _SENTENCE.finditer(text):
         sentence = match.group()
-        if not sentence:
-            continue
-        words = sentence.split()
-        if len(words) <= max_words:
-            found.append(sentence)
-            continue
-        at, ends = 0, [word.end() for word in _WORD.finditer(sentence)]
-        for k in range(max_words - 1, len(ends), max_words):
-            found.append(sentence[at : ends[k]])
-            at = ends[k]
-        if at < len(sentence):
-            found.append(sentence[at:])
+        if sentence:
+            pieces += fixed_cuts(sentence, max_words)
+    sizes = [n_words(piece) for piece in pieces]
+    covered = bytearray(len(sizes))
+    for i in range(len(sizes) - run + 1):
+        if sum(sizes[i : i + run]) >= min_words:
+            covered[i : i + run] = b"\1" * run
+    if all(covered):
+        return pieces
+    found, i = [], 0
+    while i < len(pieces):
+        end = i + 1
+        if not covered[i]:
+            while end < len(pieces) and not covered[end]:
+                end += 1
+        found += pieces[i:end] if end == i + 1 else content_cuts("".join(pieces[i:end]), MAX_JOINED)
+        i = end
     return found
 
 
 def run_digests(pieces: list[str], run: int, min_words: int) -> Iterator[tuple[int, bytes]]:
     """Where a run starts, and the digest of its words; case and white space do not count."""
-    words = [piece.lower().split() for piece in pieces]
+    words = [" ".join(piece.lower().split()) for piece in pieces]
+    sizes = [n_words(piece) for piece in pieces]
     for i in range(len(words) - run + 1):
-        if sum(map(len, words[i : i + run])) >= min_words:
-            yield i, xxhash.xxh3_128_digest("\n".join(" ".join(w) for w in words[i : i + run]).encode("utf-8", "surrogatepass"))
+        if sum(sizes[i : i + run]) >= min_words:
+            yield i, xxhash.xxh3_128_digest("\n".join(words[i : i + run]).encode("utf-8", "surrogatepass"))
 
 
 def _runs(rows: DataFrame, run: int, min_words: int, max_words: int) -> DataFrame:
@@ -60,7 +110,7 @@ def _runs(rows: DataFrame, run: int, min_words: int, max_words: int) -> DataFram
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for doc_id, row_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for at, digest in run_digests(sentences(text, max_words), run, min_words):
+                for at, digest in run_digests(sentences(text, max_words, run, min_words), run, min_words):
                     for column, value in zip(out, (doc_id, row_id, at, digest)):
                         column.append(value)
                 if len(out[0]) > 50_000:
@@ -81,7 +131,8 @@ def sentence_span_dedup(
 ) -> DataFrame:
     """doc_id, n_sentences, removed (numbers of the sentences that go), text (the others, as they stood).
 
-    All runs of ``run`` consecutive sentences are hashed. Of a digest that occurs more than once the
+    All runs of ``run`` consecutive sentences of at least ``min_words`` words are hashed; sentences that stand
+    in none are joined first (see :func:`sentences`), so what no run covers is one piece of few words. Of a digest that occurs more than once the
     first place is kept: the smallest id, and in a document the earliest run. Sentences covered by
     any other occurrence go. Counting merges in the map tasks, and only digests that repeat are
     joined back to their places, by a join that Spark may split at a digest of many places.
@@ -106,7 +157,7 @@ def sentence_span_dedup(
         def step(ids, texts, all_starts):
             counts, removed, kept = [], [], []
             for text, starts_ in zip(texts, all_starts):
-                pieces = sentences(text, max_words)
+                pieces = sentences(text, max_words, run, min_words)
                 gone = {i + k for i in starts_ or () for k in range(run)}
                 counts.append(len(pieces))
                 removed.append(sorted(gone))

@@ -97,6 +97,19 @@ def test_sentence_dedup_against_brute_force(spark):
     assert any(want.values())
 
 
+def left_of(make_docs, passage, befores=("Mine is this. ", "Yours was that one. ")):
+    """The words of the passage that are left in its second place."""
+    rows = [(i, before + passage) for i, before in enumerate(befores)]
+    got = {r.doc_id: r for r in sentence_dedup.sentence_span_dedup(make_docs(rows)).collect()}
+    assert got[0].text == rows[0][1]
+    return [w for w in got[1].text.split() if w in set(passage.split())]
+
+
+def test_sentence_dedup_of_short_sentences(make_docs):
+    assert len(left_of(make_docs, " ".join(f"word{i}!!" for i in range(60)))) < 10
+    assert len(left_of(make_docs, " ".join(f"No w{i} so here. Yes{i}." for i in range(20)))) < 10
+
+
 # --- byte strings
 
 
