@@ -16,7 +16,7 @@ from footfall.llm.common import arrow_schema, map_columns, record_batch, text_of
 RUN = 3
 #: A run of fewer words says too little.
 MIN_WORDS = 10
-#: A longer sentence counts as several, each of so many words from its start.
+#: A longer sentence counts as several.
 MAX_WORDS = 16
 #: Short sentences in a row, whose runs would have too few words, are joined and cut into so many words at most.
 MAX_JOINED = 8
@@ -25,7 +25,9 @@ REACH = 3
 
 #: Letters of scripts that set no spaces between words: each counts as a word.
 _WIDE = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U000323af"
-_SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]*\s*")
+#: Marks that end a sentence, and line ends.
+_ENDS = ".!?\n\u2028\u2029\u037e\u0589\u061f\u06d4\u0964\u0965\u104a\u104b\u1362\u1367\u17d4\u17d5\u203c\u203d\u2047-\u2049\u2026\u3002\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61"
+_SENTENCE = re.compile(rf"[^{_ENDS}]*[{_ENDS}]*\s*")
 _WORD = re.compile(rf"[{_WIDE}]\s*|[^\s{_WIDE}]+\s*")
 _HAS_WIDE = re.compile(rf"[{_WIDE}]")
 
@@ -41,40 +43,33 @@ def content_cuts(text: str, limit: int) -> list[str]:
     the limit count from the cut before. Words that repeat with a period are cut at multiples of it; pieces have
     more words than REACH, but for the last.
     """
-    matches = list(_WORD.finditer(text))
-    hashes = [xxhash.xxh32_intdigest(m.group().rstrip().lower().encode("utf-8", "surrogatepass")) for m in matches]
-    found, at, last, n = [], 0, -1, len(hashes)
-    for k in range(n - 1):
-        own = hashes[k]
-        length = k - last
-        if length == limit or (
-            length > REACH and own != hashes[k + 1] and own == min(hashes[max(0, k - REACH) : k + REACH + 1])
-        ):
-            found.append(text[at : matches[k].end()])
-            at, last = matches[k].end(), k
-    found.append(text[at:])
-    return found
-
-
-def fixed_cuts(sentence: str, max_words: int) -> list[str]:
-    at, found, ends = 0, [], [word.end() for word in _WORD.finditer(sentence)]
-    for k in range(max_words - 1, len(ends), max_words):
-        found.append(sentence[at : ends[k]])
-        at = ends[k]
-    return found + [sentence[at:]] if at < len(sentence) else found
+    words = _WORD.findall(text)
+    hashes = [xxhash.xxh32_intdigest(word.rstrip().lower().encode("utf-8", "surrogatepass")) for word in words]
+    if words:
+        words[0] = text[: len(text) - sum(map(len, words))] + words[0]  # white space before
+    found, first = [], 0
+    for k in range(len(words) - 1):
+        own, length = hashes[k], k + 1 - first
+        least = length > REACH and own < hashes[k + 1] and own == min(hashes[max(0, k - REACH) : k + REACH + 1])
+        if least or length == limit:
+            found.append("".join(words[first : k + 1]))
+            first = k + 1
+    return [*found, "".join(words[first:]) if words else text]
 
 
 def sentences(text: str, max_words: int = MAX_WORDS, run: int = RUN, min_words: int = MIN_WORDS) -> list[str]:
     """The text in order and complete: sentences end with marks or a line, with the white space behind.
 
-    Neighbours that stand in no run of enough words are joined, and cut by content, so that their runs have as many.
+    Longer ones are cut by content. Neighbours that stand in no run of enough words are joined, and cut by
+    content too, so that their runs have as many.
     """
-    pieces = []
-    for match in _SENTENCE.finditer(text):
-        sentence = match.group()
+    pieces, sizes = [], []
+    for sentence in _SENTENCE.findall(text):
         if sentence:
-            pieces += fixed_cuts(sentence, max_words)
-    sizes = [n_words(piece) for piece in pieces]
+            size = n_words(sentence)
+            cut = [sentence] if size <= max_words else content_cuts(sentence, max_words)
+            pieces += cut
+            sizes += [size] if size <= max_words else map(n_words, cut)
     covered = bytearray(len(sizes))
     for i in range(len(sizes) - run + 1):
         if sum(sizes[i : i + run]) >= min_words:
@@ -94,11 +89,13 @@ def sentences(text: str, max_words: int = MAX_WORDS, run: int = RUN, min_words:
 
 def run_digests(pieces: list[str], run: int, min_words: int) -> Iterator[tuple[int, bytes]]:
     """Where a run starts, and the digest of its words; case and white space do not count."""
-    words = [" ".join(piece.lower().split()) for piece in pieces]
-    sizes = [n_words(piece) for piece in pieces]
+    words = [piece.lower().split() for piece in pieces]
+    wide = any(not piece.isascii() and _HAS_WIDE.search(piece) for piece in pieces)
+    sizes = list(map(n_words, pieces) if wide else map(len, words))
+    joined = [" ".join(w) for w in words]
     for i in range(len(words) - run + 1):
         if sum(sizes[i : i + run]) >= min_words:
-            yield i, xxhash.xxh3_128_digest("\n".join(words[i : i + run]).encode("utf-8", "surrogatepass"))
+            yield i, xxhash.xxh3_128_digest("\n".join(joined[i : i + run]).encode("utf-8", "surrogatepass"))
 
 
 def _runs(rows: DataFrame, run: int, min_words: int, max_words: int) -> DataFrame:

@@ -110,6 +110,23 @@ def test_sentence_dedup_of_short_sentences(make_docs):
     assert len(left_of(make_docs, " ".join(f"No w{i} so here. Yes{i}." for i in range(20)))) < 10
 
 
+@pytest.mark.parametrize("before", range(1, 16))
+def test_sentence_cuts_realign_behind_other_beginnings(before):
+    """A passage without marks is cut alike whatever stands before it."""
+    passage = [f"word{i}" for i in range(60)]
+    runs = lambda words: {d for _, d in sentence_dedup.run_digests(sentence_dedup.sentences(" ".join(words)), 3, 10)}
+    shared = runs(passage) & runs([f"x{before}y{i}" for i in range(before)] + passage)
+    assert len(shared) >= 3
+
+
+def test_sentence_dedup_of_passages_without_our_marks(make_docs):
+    assert len(left_of(make_docs, " | ".join(f"cell{i}" for i in range(60)), ("mine ", "yours is longer | "))) < 20
+    signs = "".join(chr(0x4E00 + 37 * i) + ("\u3002" if i % 7 == 6 else "") for i in range(60))
+    rows = [(1, "\u6211\u7684" + signs), (2, "\u4f60" + signs)]
+    got = {r.doc_id: r.text for r in sentence_dedup.sentence_span_dedup(make_docs(rows)).collect()}
+    assert got[1] == rows[0][1] and len(got[2]) < 20
+
+
 # --- byte strings
 
 
