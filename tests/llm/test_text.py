@@ -163,6 +163,16 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
+def test_limit_is_the_quantile_of_trusted_documents(spark):
+    """No more trusted documents stay than the quantile says, and of the toxic ones fewer than half."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = kneser_ney.quality_classifier(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    counts = got.join(labels, "doc_id").groupBy("quality", "toxic").agg({"kept": "count_if", "*": "count"}).collect()
+    kept = {(r.quality, r.toxic): r["count_if(kept)"] / r["count(1)"] for r in counts}
+    assert 0.985 <= kept[1, 0] <= 0.995 and kept[1, 1] < 0.5 and kept[0, 0] < 0.05 and kept[0, 1] < 0.05
+
+
 def test_classifier_cases(make_docs, spark):
     docs = make_docs([(i, f"Some words of number {i} and more of them", "en") for i in range(60)] + [(90, None), (91, ""), (None, "##$$%%&&|| " * 30, None)])
     labels = spark.createDataFrame([(i, 1, 0, "x") for i in range(60)] + [(None, 1, 0, "x"), (3, 0, None, "x")], "doc_id long, quality int, toxic int, text string")
