@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, exact_dedup, jaccard_join, kneser_ney, packing, pii, quality_rules, sentence_dedup, suffix_dedup, token_counts
+from footfall.llm import bpe, exact_dedup, jaccard_join, kneser_ney, packing, pii, quality_rules, ranked_search, sentence_dedup, suffix_dedup
+from footfall.llm import token_counts, warc, whitening
 from footfall.llm.common import map_columns, read_documents
+from footfall.session import scratch_dir
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -111,7 +113,36 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
-QUERIES = (op1_exact_dedup, op2_pii, op3_quality_classifier, op4_sentence_dedup, op5_suffix_array_dedup, op6_jaccard_join, op7_token_counts, op8_packing, op9_quality_rules, op10_bpe)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc-archive")
+    warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    facts = warc.read_record_facts(spark, folder)
+    return facts.select("page_id", F.col("n_payload").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = (
+    op1_exact_dedup,
+    op2_pii,
+    op3_quality_classifier,
+    op4_sentence_dedup,
+    op5_suffix_array_dedup,
+    op6_jaccard_join,
+    op7_token_counts,
+    op8_packing,
+    op9_quality_rules,
+    op10_bpe,
+    op11_ranked_search,
+    op12_whitening,
+    op13_warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -184,6 +215,43 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
 from counts
 """
 
+_TERMS = r"""unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term"""
+
+OP11 = f"""
+with words as (select doc_id, {_TERMS} from documents),
+wanted as (select distinct item_id, {_TERMS} from benchmark),
+sizes as (select doc_id, count(*) as n from words group by doc_id),
+totals as (select count(*) as all_docs, cast(sum(n) as bigint) as all_terms from sizes),
+found as (select doc_id, term, count(*) as tf from words where term in (select term from wanted) group by doc_id, term),
+weights as (
+    select term, cast(floor(1000 * ln(cast(2 * all_docs + 2 as double) / (2 * count(*) + 1))) as bigint) as w
+    from found, totals group by term, all_docs
+),
+impacts as (
+    select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * all_docs) // all_terms))) as impact
+    from found join weights using (term) join sizes using (doc_id), totals
+),
+scores as (
+    select item_id, doc_id, cast(sum(impact) as bigint) as score from wanted join impacts using (term) group by item_id, doc_id
+),
+ranked as (
+    select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank from scores where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
+OP13 = """
+with records as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+),
+placed as (select *, max(page_id) over (partition by payload_digest) as keeper from records)
+select page_id, payload_bytes, payload_digest,
+    case when payload_bytes >= 1000 and page_id <> keeper then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 1000 and page_id <> keeper then keeper end as refers_to
+from placed
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op6_jaccard_join": OP6, "op9_quality_rules": OP9}
+    return {"op1_exact_dedup": OP1, "op6_jaccard_join": OP6, "op9_quality_rules": OP9, "op11_ranked_search": OP11, "op13_warc": OP13}
