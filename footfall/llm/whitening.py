@@ -75,10 +75,13 @@ def weighted_sums(distinct: DataFrame, weight: Column) -> tuple[int, list[int]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, None
         for batch in batches:
-            for key, w in zip(batch.column(0), batch.column(1).to_pylist()):
-                x = unpacked(key.as_py()).astype(object)  # whole numbers of any size
-                total = x * w if total is None else total + x * w
-                n += w
+            if batch.num_rows:
+                vectors, w = np.stack([unpacked(key.as_py()) for key in batch.column(0)]), batch.column(1).to_numpy()
+                if int(np.abs(vectors).max(initial=0)) * int(w.sum()) >= 1 << 63:
+                    vectors, w = vectors.astype(object), w.astype(object)  # whole numbers of any size
+                part = (w @ vectors).astype(object)
+                total = part if total is None else total + part
+                n += int(w.sum())
         if total is not None and len(total):
             yield record_batch((range(len(total)), [n] * len(total), [int(t) for t in total]), arrow)
 
@@ -128,11 +131,11 @@ def fit_whitening(distinct: DataFrame, components: int = COMPONENTS, multiplicit
 
 def deviations(vectors: np.ndarray, n: int, sums: list[int]) -> tuple[list[int], np.ndarray]:
     """The exact sums of (n*x - S)^2, and x - S/n without rounding n*x - S."""
-    largest = max(map(abs, (int(vectors.min(initial=0)), int(vectors.max(initial=0)))), default=0) * n + max(map(abs, sums))
-    if largest * largest * len(sums) < 1 << 63:
+    largest = max(int(np.abs(vectors).max(initial=0)) * n, *map(abs, sums))
+    if largest < 1 << 62:
         apart = vectors * n - np.array(sums, dtype=np.int64)
-        return np.einsum("ij,ij->i", apart, apart).tolist(), apart / n
-    # The largest terms cancel: the differences are small where the products are not.
+        if int(np.abs(apart).max(initial=0)) ** 2 * len(sums) < 1 << 63:
+            return np.einsum("ij,ij->i", apart, apart).tolist(), apart / n
     apart = vectors.astype(object) * n - np.array(sums, dtype=object)
     return [int(d) for d in (apart * apart).sum(axis=1)], (apart / n).astype(float)
 
@@ -185,7 +188,7 @@ def whiten(docs: DataFrame, components: int = COMPONENTS, multiplicity: bool = T
     id_type = docs.schema[id_col].dataType.simpleString()
     result = f"id {id_type}, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
     rows = docs.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    rows = _packed_rows(integer_vectors(rows), id_type)
+    rows = written(_packed_rows(integer_vectors(rows), id_type), "whitening-rows")
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
     if not sizes or not sizes[0]["dim"]:
         return docs.sparkSession.createDataFrame([], result)
