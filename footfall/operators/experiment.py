@@ -30,13 +30,13 @@ def assign_experiment(
     df: DataFrame,
     config: Mapping[str, Mapping[str, Any]] = EXPERIMENTS,
     seed: int = 0,
-    time_col: str | None = None,
+    time_col: str | None = "event_time",
 ) -> DataFrame:
     """Attach one experiment to each event, and the user's group in it.
 
-    A seeded hash of the event id replaces the random draw, so reruns agree. With ``time_col``
-    an event outside the drawn experiment's dates belongs to none, nor does one without a user:
-    both read as empty.
+    A seeded hash of the event id replaces the random draw, so reruns agree. An event outside the drawn
+    experiment's dates belongs to none, nor does one without a user: both read as empty. ``time_col=None``
+    takes every experiment as running, for logs that lie outside all dates.
     """
     running = experiment_structs(config)
     pick = hash_bucket(F.concat_ws("_", F.lit(str(seed)), F.col("event_id")), len(config)).cast("int")
@@ -46,6 +46,7 @@ def assign_experiment(
             "variant": assign_variant(F.col("user_id"), F.col("_e.experiment_id"), F.col("_e.a_share")),
         }
     )
+    on = F.col("user_id").isNotNull()
     if time_col is not None:
         day = F.to_date(time_col)
         dates = F.create_map(
@@ -56,9 +57,8 @@ def assign_experiment(
             ]
         )
         of = F.try_element_at(dates, F.col("experiment_id"))
-        on = F.coalesce(day.between(of["a"], of["b"]) & F.col("user_id").isNotNull(), F.lit(False))
-        chosen = chosen.withColumns({c: F.when(on, F.col(c)).otherwise("") for c in ("experiment_id", "variant")})
-    return chosen.drop("_e")
+        on = F.coalesce(day.between(of["a"], of["b"]) & on, F.lit(False))
+    return chosen.withColumns({c: F.when(on, F.col(c)).otherwise("") for c in ("experiment_id", "variant")}).drop("_e")
 
 
 def assign_all(users: DataFrame, config: Mapping[str, Mapping[str, Any]] = EXPERIMENTS) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.expressions import app_name, half_up, is_type
 from footfall.operators import (
+    bitmaps,
     clean,
     daily,
     experiment,
@@ -28,7 +29,8 @@ from footfall.sources import events as event_source
 from footfall.sources.experiments import experiments_df
 from footfall.sources.tables import read_layer
 from footfall.sources.testdata import ods, ods_stream
-from footfall.streaming import anomaly, jobs
+from footfall.streaming import anomaly, jobs, rollup, sliding
+from footfall.streaming import ranking as live_ranking
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +218,39 @@ def _realtime_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("metric_time", "metric_name", "metric_value", "dimension", "dimension_value", "window_size")
 
 
+def _stream_realtime_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup streams over all there is: exact counts, exact users of the same cells, and whether the sketches are near."""
+    folder = scratch_dir(spark, "rollup")
+    events = jobs.stream_clean_newest(ods_stream(spark, sf_dir))  # whose copy counts shows in the city
+    for query in rollup.run_rollup(events, folder, f"{folder}/checkpoints", availableNow=True):
+        query.awaitTermination()
+    cells = rollup.read_rollup(spark, folder)
+    exact = windows.realtime_metrics(detail(spark, sf_dir, "city", "device_model", "properties")).filter("metric_name = 'uv'")
+    key = ["metric_time", "window_size", "dimension", "dimension_value"]
+    both = cells.join(exact.select(*key, F.col("metric_value").cast("bigint").alias("uv")), key)
+    near = F.abs(F.col("uv_estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * 0.03)
+    return both.select(*key, "pv", "download_count", "search_count", "uv", near.alias("is_within"))
+
+
+def _on_bitmaps(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """Number the users of the first half of the log, then the new ones of the rest; write the bitmaps; answer from them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "bitmaps")
+        events = detail(spark, sf_dir)
+        halves = (events.filter(F.col("event_time") < F.lit(DAY).cast("timestamp")), events)
+        for step, part in enumerate(halves):
+            known = spark.read.parquet(f"{folder}/numbers") if step else None
+            bitmaps.drafted_numbers(part, known).write.parquet(f"{folder}/drafted-{step}")
+            first = 1 + (known.count() if step else 0)
+            numbers = bitmaps.dense_numbers(spark.read.parquet(f"{folder}/drafted-{step}"), first)
+            numbers.write.mode("append").parquet(f"{folder}/numbers")
+        bitmaps.day_bitmaps(events, spark.read.parquet(f"{folder}/numbers")).write.parquet(f"{folder}/days")
+        return build(spark.read.parquet(f"{folder}/days"))
+
+    return run
+
+
 def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table without days, written for some days first, then for all: nothing of the first is left."""
     root = scratch_dir(spark, "refresh")
@@ -287,7 +322,7 @@ def queries() -> dict[str, Query]:
         ),
         "summing_merge": _summing_merge,
         "full_refresh": _full_refresh,
-        "ttl_filter": on(lambda e: tables.apply_ttl(e.select("event_id", "event_time"), "event_time", 7, AS_OF), days=("2024-01-24", AS_OF)),
+        "ttl_filter": on(lambda e: tables.apply_ttl(e.select("event_id", "event_time"), "event_time", 7, AS_OF), days=("2024-01-15", AS_OF)),
         "layer_days": _layer_days,
         "jsonl_events": _jsonl_events,
         "decoded_events": _decoded_events,
@@ -309,6 +344,8 @@ def queries() -> dict[str, Query]:
         "uv_hll_weekly": on(_uv_hll_weekly),
         "uv_bitmap": on(lambda e: daily.uv_bitmap(e, _user_number())),
         "uv_of_sets": on(daily.uv_of_sets),
+        "bitmap_week_uv": _on_bitmaps(lambda b: bitmaps.bitmap_uv(b, F.date_trunc("week", "stat_date").cast("date"), "week")),
+        "bitmap_retention": _on_bitmaps(bitmaps.bitmap_retention),
         # Retention
         "retention_ndays": on(retention.retention),
         "retention_base_dates": on(
@@ -331,7 +368,7 @@ def queries() -> dict[str, Query]:
         # Experiments
         "ab_assignment": lambda s, d: experiment.assign_all(detail(s, d).select("user_id").distinct()),
         "ab_event_assignment": lambda s, d: experiment.assign_experiment(
-            detail(s, d).select("event_id", "user_id")
+            detail(s, d).select("event_id", "user_id"), time_col=None
         ),
         "ab_dated_assignment": on(_dated_assignment),
         "ab_metrics": on(experiment.ab_metrics, *GROUPS),
@@ -392,10 +429,13 @@ def queries() -> dict[str, Query]:
         "stream_sessions": stream(sessions.session_windows),
         "stream_anomaly": stream(lambda e: anomaly.stream_anomaly(e, "6 hours")),
         "stream_followed": _stream_followed,
+        "stream_pv_uv_sliding": stream(sliding.stream_pv_uv_sliding),
+        "stream_download_ranking": stream(lambda e: live_ranking.stream_download_ranking(e, "6 hours", "1 hour", 5)),
+        "stream_realtime_metrics": _stream_realtime_metrics,
         # Reports
         "retention_lookup": _lookup(
             "ads_retention",
-            lambda e: retention.retention(e).filter("ret_day <= 7"),
+            retention.retention,
             lambda s, root: reports.get_retention(s, root, DAY),
         ),
         "funnel_lookup": _lookup("ads_funnel_analysis", funnel.funnel_steps, lambda s, root: reports.get_funnel(s, root, DAY)),
@@ -405,8 +445,8 @@ def queries() -> dict[str, Query]:
             lambda s, root: reports.get_daily(s, root, "2024-01-10", "2024-01-20"),
             *TRAFFIC,
         ),
-        "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF), "properties", days=("2024-01-24", AS_OF)),
-        "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY), "properties", days=(DAY, DAY)),
+        "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF), "properties", days=("2024-01-15", AS_OF)),
+        "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY), "properties", days=("2024-01-13", "2024-01-17")),
         "sample_users": on(lambda e: ranking.sample_users(e, 50, seed=7)),
         "kpi_snapshot": on(lambda e: reports.kpi_snapshot(e, NOW, minutes=60), days=("2024-01-19", "2024-01-20")),
         "daily_trend": on(
@@ -414,11 +454,11 @@ def queries() -> dict[str, Query]:
                 daily.daily_summary(clean.last_days(e, "2024-01-20"), approx_new=True), "2024-01-20"
             ),
             *TRAFFIC,
-            days=("2024-01-13", "2024-01-20"),
+            days=("2024-01-08", "2024-01-25"),
         ),
         "hourly_trend": on(
             lambda e: reports.hourly_trend(daily.hourly_summary(clean.last_days(e, NOW[:10], 1)), NOW),
             *TRAFFIC,
-            days=("2024-01-19", "2024-01-20"),
+            days=("2024-01-15", "2024-01-25"),
         ),
     }

@@ -279,6 +279,24 @@ from (select *, cast(current_count - previous_count as double) / previous_count
     )
 
 
+def _rollup() -> str:
+    """Closed windows of each length; a longer one is closed once a shorter one behind it is."""
+    wide = "max(case when metric_name = '{0}' then metric_value end)"
+    named = ", ".join(f"cast({wide.format(n)} as bigint) as {n}" for n in ("pv", "download_count", "search_count", "uv"))
+    closed = {
+        "5m": "metric_time + interval 5 minute <= (select until from closed_at)",
+        "1h": "metric_time + interval 1 hour <= (select max(metric_time) from c5m)",
+        "1d": "metric_time + interval 1 day <= (select max(metric_time) from c1h)",
+    }
+    levels = ", ".join(f"c{w} as (select * from cells where window_size = '{w}' and {rule})" for w, rule in closed.items())
+    union = " union all ".join(f"select *, true as is_within from c{w}" for w in closed)
+    return (
+        f"with closed_at as ({_q('select until from closed')}), metric as ({_realtime()}), "
+        f"cells as (select metric_time, window_size, dimension, dimension_value, {named} from metric group by all), "
+        f"{levels} {union}"
+    )
+
+
 def _realtime() -> str:
     sizes = {"5m": 300, "1h": 3600, "1d": 86400}
     cells = " union all ".join(
@@ -583,11 +601,11 @@ and user_id not in (select user_id from dwd where {_DAY} = date '2024-01-01')"""
         "funnel_contained": _funnel_contained(),
         "funnel_ordered": _funnel_ordered(6),
         "funnel_lookup": f"select step_order, step_name, user_count, step_rate, overall_rate from ({_funnel_steps(('2024-01-15',))})",
-        "retention_lookup": (
-            "select * from ("
-            + _retention((1, 3, 7, 30), "active", "select d from (values (date '2024-01-15')) v(d)")
-            + ") where ret_day <= 7"
+        "retention_lookup": _retention((1, 3, 7, 30), "active", "select d from (values (date '2024-01-15')) v(d)"),
+        "bitmap_week_uv": _q(
+            f"select cast(date_trunc('week', {_DAY}) as date) as week, count(distinct user_id) as uv from dwd group by 1"
         ),
+        "bitmap_retention": _retention((1, 3, 7, 30), "active"),
         "daily_range_lookup": (
             f"select * from ({_traffic('stat_date', _DAY)}) where stat_date between date '2024-01-10' and date '2024-01-20'"
         ),
@@ -799,6 +817,16 @@ union all select window_start, metric_name, metric_value, 'all', 'all', '10m' fr
             "<= (select until from closed)",
             "dwd",
         ),
+        "stream_pv_uv_sliding": _q(
+            f"""select window_start, {_end(300)}, count(*) as pv, count(distinct user_id) as uv
+from ({_slide(300, 5, 'dwd')}) where {_closed(300)} group by window_start"""
+        ),
+        "stream_download_ranking": _q(
+            """select * from (select *, cast(row_number() over (partition by window_start
+  order by download_count desc, app_name) as int) as rank from x) where rank <= 5""",
+            x=_downloads(21600, 3600, where=_closed(21600)),
+        ),
+        "stream_realtime_metrics": _rollup(),
         "stream_anomaly": _anomaly(21600, "dwd", where=_closed(21600)),
         "stream_followed": _q(
             """select event_id, user_id, event_time from (select distinct event_id, user_id, event_time from live

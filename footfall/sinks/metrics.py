@@ -111,9 +111,13 @@ def stream_messages(messages: DataFrame, options: Mapping[str, str], checkpoint:
 
 
 def latest_values(batch: DataFrame, ttl: str) -> DataFrame:
-    """Of every metric and dimension value the newest window, with the time it expires."""
+    """Of every metric and dimension value the newest window, with the time it expires.
+
+    Windows more than ``MAX_AHEAD`` in the future come from a wrong clock and are left out.
+    """
     keys = ["metric_name", "dimension", "dimension_value", "window_size"]
-    newest = batch.groupBy(*keys).agg(F.max(F.struct("metric_time", "metric_value")).alias("n"))
+    known = batch.filter(F.col("metric_time") <= F.current_timestamp() + F.expr(f"interval {MAX_AHEAD}"))
+    newest = known.groupBy(*keys).agg(F.max(F.struct("metric_time", "metric_value")).alias("n"))
     micros = interval_micros(ttl)
     return newest.select(
         *keys,
@@ -125,16 +129,19 @@ def latest_values(batch: DataFrame, ttl: str) -> DataFrame:
 
 _LATEST = (
     "metric_name string, dimension string, dimension_value string, window_size string, metric_time timestamp, "
-    "metric_value double, expires_at timestamp"
+    "metric_value double, expires_at timestamp, written_at timestamp"
 )
 _KEY = ["metric_name", "dimension", "dimension_value", "window_size"]
+#: A window this far ahead of the sink's clock comes from a wrong clock.
+MAX_AHEAD = "1 day"
+#: How long a value is stored that is written no more; it is shown no longer than its own lifetime.
+KEEP_STORED = "40 days"
 
 
 def write_latest_snapshot(metric_rows: DataFrame, path: str, checkpoint: str, ttl: str, **trigger) -> StreamingQuery:
     """Keep the latest value of every metric and dimension value in a small table.
 
-    Each batch merges its values with the stored ones that have not expired at its newest window,
-    by the full key, and writes a new version; readers take the newest one that is complete. The
+    Each batch merges its values with the stored ones by the full key, and writes a new version; readers take the newest one that is complete. The
     version before it stays for readers that have it open, older ones go. ``ttl`` counts from the
     window's start: take the window length (so the value outlives it) plus the time a value may
     stay shown.
@@ -181,14 +188,17 @@ def _overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
 
 
 def merge_latest(spark: SparkSession, values: DataFrame, path: str, batch_id: int) -> None:
-    """One batch's latest values into the stored ones. Merging a batch again changes nothing."""
+    """One batch's latest values into the stored ones. Merging a batch again changes nothing.
+
+    Values expire when they are read. Event times never remove a stored value, so a row from a wrong clock
+    takes none with it. What no batch has written for ``KEEP_STORED`` of the sink's own time goes, which bounds the table.
+    """
     versions = complete_versions(spark, path)
-    newest = values.agg(F.max("metric_time")).first()[0]
-    if newest is None:
-        return
-    stored = _version(spark, path, versions[-1:]).filter(F.col("expires_at") > F.lit(newest))
-    both = stored.select(*values.columns).unionByName(values)
-    latest = both.groupBy(*_KEY).agg(F.max(F.struct("metric_time", "metric_value", "expires_at")).alias("n"))
+    now = F.current_timestamp()
+    new = values.withColumn("written_at", now)
+    stored = _version(spark, path, versions[-1:]).filter(F.col("written_at") > now - F.expr(f"interval {KEEP_STORED}"))
+    both = stored.select(*new.columns).unionByName(new)
+    latest = both.groupBy(*_KEY).agg(F.max(F.struct("metric_time", "metric_value", "expires_at", "written_at")).alias("n"))
     latest.select(*_KEY, "n.*").write.mode("overwrite").parquet(f"{path}/version={new_version(batch_id)}")
     drop_versions(spark, path, versions[:-1])
 
@@ -201,5 +211,5 @@ def _version(spark: SparkSession, path: str, version: list[str]) -> DataFrame:
 
 def read_latest(spark: SparkSession, path: str, now: str) -> DataFrame:
     """Values that have not expired at ``now``."""
-    stored = _version(spark, path, complete_versions(spark, path)[-1:])
+    stored = _version(spark, path, complete_versions(spark, path)[-1:]).drop("written_at")
     return stored.filter(F.col("expires_at") > F.lit(now).cast("timestamp"))

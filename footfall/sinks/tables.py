@@ -47,6 +47,11 @@ def table_exists(spark: SparkSession, root: str, table: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def new_version(batch_id: int) -> str:
     """A folder name that sorts behind those of earlier runs, whatever checkpoint they had."""
     return f"{time.time_ns() // 1_000_000:015d}-{batch_id:09d}"

@@ -21,7 +21,7 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def text(value) -> str:
-    if value is None or value is pd.NaT or value != value:
+    if value is None or value is pd.NaT or value is pd.NA or value != value:
         return "null"
     if isinstance(value, float):
         return repr(value)

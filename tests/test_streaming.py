@@ -12,7 +12,9 @@ from footfall.session import configure_streaming
 from footfall.sinks import metrics
 from footfall.sources.events import stream_events_jsonl
 from footfall.sources.tables import read_layer
-from footfall.streaming import anomaly, jobs
+from footfall.streaming import anomaly, jobs, rollup
+from footfall.streaming.ranking import stream_download_ranking
+from footfall.streaming.sliding import stream_pv_uv_sliding
 from tests.conftest import rows
 
 DAY = "2026-07-10"
@@ -173,14 +175,125 @@ def test_latest_values_survive_batches_without_them(spark, tmp_path):
     put = lambda n, *values: metrics.merge_latest(
         spark, metrics.latest_values(spark.createDataFrame([("d", "app", a, "5m", at(m), v) for a, m, v in values], columns), "10 minutes"), str(tmp_path), n
     )
-    shown = lambda: rows(metrics.read_latest(spark, str(tmp_path), f"{DAY} 10:06:00"), "dimension_value", "metric_value")
+    shown = lambda at="10:06": rows(metrics.read_latest(spark, str(tmp_path), f"{DAY} {at}:00"), "dimension_value", "metric_value")
     assert shown() == []
     put(0, ("App1", 0, 1.0), ("", 0, 7.0))
     put(1, ("App2", 5, 2.0))
     assert shown() == [("", 7.0), ("App1", 1.0), ("App2", 2.0)]
     put(1, ("App2", 5, 2.0))  # once more
     put(0, ("App1", 12, 3.0))  # a new checkpoint counts from 0 again
-    assert shown() == [("App1", 3.0), ("App2", 2.0)]
+    assert shown() == [("", 7.0), ("App1", 3.0), ("App2", 2.0)]
+    assert shown("10:11") == [("App1", 3.0), ("App2", 2.0)]
+
+
+def test_latest_values_survive_a_wrong_clock(spark, tmp_path):
+    """A row from the far future is left out; one a month ahead, still in the past of the sink, takes nothing with it."""
+    columns = "metric_name string, dimension string, dimension_value string, window_size string, metric_time timestamp, metric_value double"
+    put = lambda n, *values: metrics.merge_latest(
+        spark, metrics.latest_values(spark.createDataFrame([("d", "app", a, "5m", dt.datetime(*t), v) for a, t, v in values], columns), "11 minutes"), str(tmp_path), n
+    )
+    put(0, ("App1", (2024, 7, 10, 12, 0), 3.0), ("App2", (2024, 7, 10, 12, 0), 4.0))
+    put(1, ("App1", (2024, 7, 10, 12, 5), 5.0), ("App3", (2024, 8, 10), 1.0), ("App1", (2999, 1, 1), 9.0))
+    shown = lambda now: rows(metrics.read_latest(spark, str(tmp_path), now), "dimension_value", "metric_value")
+    assert shown("2024-07-10 12:08:00") == [("App1", 5.0), ("App2", 4.0), ("App3", 1.0)]
+    assert shown("2024-07-10 12:14:00") == [("App1", 5.0), ("App3", 1.0)]
+
+
+def sliding_by_hand(events, size, slide, until):
+    """(start, pv, uv) of windows that end by ``until``; events are (user, second)."""
+    found = []
+    for end in range(slide, until + 1, slide):
+        inside = [u for u, t in events if end - size <= t < end]
+        if inside:
+            found.append((end - size, len(inside), len(set(inside) - {None})))
+    return found
+
+
+def test_sliding_windows_over_batches(spark, feed):
+    """Users come back within a window, right at its edge and after it; batches close panes a few at a time."""
+    base = dt.datetime(2026, 7, 10, 10)
+    batches = [
+        [("a", 0), ("a", 4), ("b", 7), ("a", 11)], [("a", 30), ("b", 29), ("c", 33), ("a", 28)], [("a", 59), ("b", 64)],
+        [("c", 300), ("a", 302)], [("a", 331), ("a", 360)], [("d", 420)], [("d", 433)],
+    ]
+    for batch in batches:
+        feed(*[(u, "page_view", f"{base + dt.timedelta(seconds=t):%H:%M:%S}") for u, t in batch])
+    clean = jobs.clean_stateless(feed.stream())
+    out, _ = run(spark, stream_pv_uv_sliding(clean, "30 seconds", "5 seconds"), feed.root)
+    seconds = lambda t: round((t - base).total_seconds())
+    got = sorted((seconds(r.window_start), r.pv, r.uv) for r in out.collect())
+    assert got == sliding_by_hand([e for b in batches for e in b], 30, 5, 428)
+    assert {r.window_end - r.window_start for r in out.collect()} == {dt.timedelta(seconds=30)}
+    with pytest.raises(ValueError):
+        stream_pv_uv_sliding(clean, "31 seconds", "5 seconds")
+
+
+def test_sliding_windows_after_a_restart(spark, feed):
+    build = lambda: stream_pv_uv_sliding(jobs.clean_stateless(feed.stream()), "30 seconds", "10 seconds")
+    feed(("a", "page_view", "10:00:00"), ("b", "page_view", "10:00:12"))
+    run(spark, build(), feed.root, "restarted")
+    feed(("a", "page_view", "10:00:25"), ("b", "page_view", "10:00:26"), ("a", "page_view", "10:01:40"))
+    run(spark, build(), feed.root, "restarted")
+    feed(("a", "page_view", "10:03:00"))
+    restarted, _ = run(spark, build(), feed.root, "restarted")
+    single, _ = run(spark, build(), feed.root, "single")
+    assert rows(restarted) == rows(single) and len(rows(single)) > 5
+
+
+def test_sliding_state_is_one_row_per_user(spark, feed):
+    feed(*[(f"u{i % 3}", "page_view", f"10:00:{i:02d}") for i in range(50)])
+    feed(("u0", "page_view", "10:02:00"))
+    _, query = run(spark, stream_pv_uv_sliding(jobs.clean_stateless(feed.stream()), "5 minutes", "5 seconds"), feed.root)
+    states = [p["stateOperators"] for p in query.recentProgress]
+    # Operators from the sink back: running sum, window ends, users, panes.
+    users = [s for s in states[-1] if s["operatorName"] == "transformWithStateInPandasExec"]
+    assert len(users) == 2 and all(s["numRowsTotal"] <= 12 for s in users)
+
+
+def test_ranking_of_closed_windows(spark, feed):
+    app = lambda name: {"properties": f'{{"app_name":"{name}"}}'}
+    feed(*[("u", "app_download", f"10:00:{i:02d}", app(a)) for i, a in enumerate("AABBBCDDE")])
+    feed(("u", "app_download", "10:04:59", app("E")), ("u", "app_download", "10:05:00", app("Z")), ("u", "page_view", "10:05:06"))
+    feed(("u", "page_view", "10:11:00"))
+    out, _ = run(spark, stream_download_ranking(jobs.clean_stateless(feed.stream()), "5 minutes", "5 minutes", 3), feed.root)
+    assert [tuple(r) for r in out.orderBy("window_start", "rank").select("app_name", "download_count", "rank").collect()] == [("B", 3, 1), ("A", 2, 2), ("D", 2, 3), ("Z", 1, 1)]
+
+
+def test_rollup_levels(spark, feed):
+    """Hours add up closed five minutes; a user of several windows counts once; a level ends where the one below has."""
+    feed(("a", "page_view", "10:00:00"), ("b", "app_download", "10:00:10", {"city": "x"}), ("a", "search_query", "10:20:00"))
+    feed(("a", "page_view", "10:59:59"), ("c", "page_view", "11:00:00"))
+    feed(("c", "page_view", "11:10:00"))
+    root = f"{feed.root}/rollup"
+    for _ in range(2):  # the second start finds nothing new
+        queries = rollup.run_rollup(jobs.clean_stateless(feed.stream()), root, f"{root}-ckpt", ("5 minutes", "1 hour"), availableNow=True)
+        for query in queries:
+            query.awaitTermination()
+    cells = rollup.read_rollup(spark, root, ("5 minutes", "1 hour"))
+    got = rows(cells.filter("dimension = 'all'").select("window_size", F.date_format("metric_time", "HH:mm").alias("t"), "pv", "uv_estimate", "download_count", "search_count"))
+    assert got == [("1h", "10:00", 4, 2, 1, 1), ("5m", "10:00", 2, 2, 1, 0), ("5m", "10:20", 1, 1, 0, 1), ("5m", "10:55", 1, 1, 0, 0), ("5m", "11:00", 1, 1, 0, 0)]
+    assert rows(cells.filter("dimension = 'city' and dimension_value = 'x' and window_size = '1h'"), "pv") == [(1,)]
+    with pytest.raises(ValueError):
+        rollup.run_rollup(feed.stream(), root, root, ("5 minutes", "7 minutes"))
+
+
+def test_realtime_jobs_share_one_cleaning(spark, feed):
+    """One query reads the source and holds the ids; the others read what it lands, and restart on their own."""
+    root = str(feed.root)
+    feed(("a", "page_view", "10:00:00", {"event_id": "x"}), ("a", "page_view", "10:00:00", {"event_id": "x"}))
+    feed(("b", "page_view", "10:10:00"))
+    queries = run_realtime(feed.stream(), root, f"{root}/ckpt", availableNow=True)
+    for query in queries:
+        query.awaitTermination()
+    sources = [{s["description"] for p in q.recentProgress for s in p["sources"]} for q in queries]
+    assert [any("/in]" in d for d in found) for found in sources] == [True, False, False, False, False]
+    operators = [{o["operatorName"] for p in q.recentProgress for o in p["stateOperators"]} for q in queries]
+    assert ["dedupeWithinWatermark" in names for names in operators] == [True, False, False, False, False]
+    feed(("b", "page_view", "10:20:00"))
+    for query in run_realtime(feed.stream(), root, f"{root}/ckpt", availableNow=True):
+        query.awaitTermination()
+    pv = spark.read.parquet(f"{root}/realtime/pv_uv").filter("metric_name = 'pv'")
+    assert rows(pv, "metric_value") == [(1.0,), (1.0,)]
 
 
 def test_running_counts_with_a_new_checkpoint(spark, feed):
