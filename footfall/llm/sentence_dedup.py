@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -98,24 +99,28 @@ def run_digests(pieces: list[str], run: int, min_words: int) -> Iterator[tuple[i
             yield i, xxhash.xxh3_128_digest("\n".join(joined[i : i + run]).encode("utf-8", "surrogatepass"))
 
 
-def _runs(rows: DataFrame, run: int, min_words: int, max_words: int) -> DataFrame:
-    """doc_id, row_id, at, digest: a row per run."""
-    schema = "doc_id bigint, row_id bigint, at int, digest binary"
+def _cut_documents(rows: DataFrame, run: int, min_words: int, max_words: int) -> DataFrame:
+    """key, doc_id, n, sizes (characters of each sentence), ats, digests (of the runs): a row per row."""
+    schema = "key binary, doc_id bigint, n int, sizes array<int>, ats array<int>, digests array<binary>"
     arrow = arrow_schema(schema)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for doc_id, row_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for at, digest in run_digests(sentences(text, max_words, run, min_words), run, min_words):
-                    for column, value in zip(out, (doc_id, row_id, at, digest)):
-                        column.append(value)
-                if len(out[0]) > 50_000:
+            out: list[list] = [[], [], [], [], [], []]
+            held = 0
+            for key, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                pieces = sentences(text, max_words, run, min_words)
+                found = list(run_digests(pieces, run, min_words))
+                row = (key, doc_id, len(pieces), [len(p) for p in pieces], [at for at, _ in found], [digest for _, digest in found])
+                for column, value in zip(out, row):
+                    column.append(value)
+                held += len(pieces)
+                if held > 50_000:
                     yield record_batch(out, arrow)
-                    out = [[], [], [], []]
+                    out, held = [[], [], [], [], [], []], 0
             yield record_batch(out, arrow)
 
-    return rows.select("doc_id", "row_id", "text").mapInArrow(spread, schema)
+    return rows.select("key", "doc_id", "text").mapInArrow(spread, schema)
 
 
 def sentence_span_dedup(
@@ -132,33 +137,39 @@ def sentence_span_dedup(
     in none are joined first (see :func:`sentences`), so what no run covers is one piece of few words. Of a digest that occurs more than once the
     first place is kept: the smallest id, and in a document the earliest run. Sentences covered by
     any other occurrence go. Counting merges in the map tasks, and only digests that repeat are
-    joined back to their places, by a join that Spark may split at a digest of many places.
+    joined back to their places, by a join that Spark may split at a digest of many places. Each text is split and hashed
+    once; its digests and the lengths of its sentences are written, and all later steps read these.
 
     A null text is empty; a text of fewer sentences than a run is left alone. Rows that repeat id
-    and text are one document, which is its own first place. A null id counts as smaller than any
+    and text are one document (by a 128-bit key), which is its own first place. A null id counts as smaller than any
     other. Other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row_id"), "text")
-    runs = _runs(rows, run, min_words, max_words)
-    counted = runs.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row_id", "at")).alias("first"))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"), F.col("text"))
+    rows = rows.select(F.unhex(F.md5(named)).alias("key"), "doc_id", "text")
+    cut = written(_cut_documents(rows, run, min_words, max_words), "sentence-runs")
+    runs = cut.select("key", "doc_id", F.explode(F.arrays_zip("ats", "digests")).alias("r"))
+    runs = runs.select("key", "doc_id", F.col("r.ats").alias("at"), F.col("r.digests").alias("digest"))
+    counted = runs.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "at")).alias("first"))
     repeated = written(
-        counted.filter("n > 1").select("digest", F.col("first.row_id").alias("first_row"), F.col("first.at").alias("first_at")),
+        counted.filter("n > 1").select("digest", F.col("first.key").alias("first_key"), F.col("first.at").alias("first_at")),
         "repeated-runs",
     )
-    others = runs.join(repeated, "digest").filter("row_id <> first_row or at <> first_at")
-    starts = others.groupBy("row_id").agg(F.collect_set("at").alias("starts"))
-    joined = rows.join(starts, "row_id", "left").select("doc_id", "text", "starts")
+    others = runs.join(repeated, "digest").filter("key <> first_key or at <> first_at")
+    starts = others.groupBy("key").agg(F.collect_set("at").alias("starts"))
+    found = cut.select("key", "n", "sizes").dropDuplicates(["key"]).join(starts, "key", "left")
+    joined = rows.join(found, "key", "left").select("doc_id", "text", "n", "sizes", "starts")
 
     def start():
-        def step(ids, texts, all_starts):
-            counts, removed, kept = [], [], []
-            for text, starts_ in zip(texts, all_starts):
-                pieces = sentences(text, max_words, run, min_words)
-                gone = {i + k for i in starts_ or () for k in range(run)}
-                counts.append(len(pieces))
+        def step(ids, texts, counts, all_sizes, all_starts):
+            removed, kept = [], []
+            for text, sizes, starts_ in zip(texts, all_sizes, all_starts):
+                gone = {at + k for at in starts_ or () for k in range(run)}
                 removed.append(sorted(gone))
-                kept.append("".join(piece for i, piece in enumerate(pieces) if i not in gone))
+                if gone:
+                    ends = list(accumulate(sizes))
+                    text = "".join(text[end - size : end] for at, (size, end) in enumerate(zip(sizes, ends)) if at not in gone)
+                kept.append(text)
             return ids, counts, removed, kept
 
         return step
