@@ -19,7 +19,7 @@ SHARD_BYTES = 700_000
 #: as much memory; beyond that an anchor's strings are counted one by one.
 ANCHOR_BYTES = 4_000_000
 #: Starts that a document's anchors are sought for at a time.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _S30, _S29, _S32 = np.uint64(30), np.uint64(29), np.uint64(32)
@@ -39,17 +39,20 @@ def gram_hashes(raw: np.ndarray, width: int) -> np.ndarray:
     return hashes
 
 
-def stretches(raw: bytes, length: int) -> tuple[list[int], list[int], list[int]]:
-    """Cuts the starts of strings of ``length`` bytes into runs that share an anchor.
+def stretches(raw: bytes, length: int, chunk: int = CHUNK) -> Iterator[tuple[list[int], list[int], list[int], list[int]]]:
+    """Cuts the starts of strings of ``length`` bytes into runs that share an anchor, a part of the text at a time.
 
     The anchor of a string is the gram inside it with the smallest hash, the leftmost of equals; so
-    equal strings have equal anchors, wherever they stand. Returns each run's first start, its last
-    start, and the hash of its anchor.
+    equal strings have equal anchors, wherever they stand. Yields each run's first start, its last
+    start, the hash of its anchor, and an end, which is 0 but for periodic text.
+
+    Where bytes repeat with a short period the anchor would move with every period. There the run holds one start per
+    place in the period, which are all different strings that the periodic text has, and the end says how far this goes on:
+    all bytes from the first start to the end are covered by strings that occur again.
     """
     width = 1 << ((length * 2 // 5).bit_length() - 1)
-    first, last, anchors = [], [], []
-    for at in range(0, len(raw) - length + 1, CHUNK):
-        part = np.frombuffer(raw, np.uint8)[at : at + CHUNK + length - 1]
+    for at in range(0, len(raw) - length + 1, chunk):
+        part = np.frombuffer(raw, np.uint8)[at : at + chunk + length - 1]
         hashes = gram_hashes(part, width)
         least = (hashes >> _S32 << _S32) | np.arange(len(hashes), dtype=np.uint64)
         window, w = length - width + 1, 1
@@ -59,43 +62,66 @@ def stretches(raw: bytes, length: int) -> tuple[list[int], list[int], list[int]]
         if w < window:
             least = np.minimum(least[: len(least) - (window - w)], least[window - w :])
         begin = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-        first += (begin + at).tolist()
-        last += (np.append(begin[1:], len(least)) - 1 + at).tolist()
-        anchors += hashes[(least[begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)].view(np.int64).tolist()
-    return first, last, anchors
+        last = np.append(begin[1:], len(least)) - 1
+        place = (least[begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        anchors = hashes[place].view(np.int64)
+        end = np.zeros(len(begin), np.int64)
+        gone = np.zeros(len(begin), bool)
+        for i, j, period in periodic_runs(place, anchors):
+            first, stop = int(begin[i]), int(last[j]) + length
+            if last[j] - first + 1 >= 2 * period and (part[first : stop - period] == part[first + period : stop]).all():
+                end[i], last[i] = stop + at, first + period - 1
+                gone[i + 1 : j + 1] = True
+        stay = ~gone
+        yield (begin[stay] + at).tolist(), (last[stay] + at).tolist(), anchors[stay].tolist(), end[stay].tolist()
+
+
+def periodic_runs(place: np.ndarray, anchors: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(first, last, distance) of at least three anchors in a row of one hash and one distance."""
+    step = np.diff(place)
+    same = (anchors[1:] == anchors[:-1])
+    joined = same[1:] & same[:-1] & (step[1:] == step[:-1])
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], joined, [False])).astype(np.int8)))
+    taken = -1
+    for first, stop in edges.reshape(-1, 2).tolist():
+        if first > taken:
+            taken = stop + 1
+            yield first, stop + 1, int(step[first])
+
+
+_STRETCH = "row_id binary, at bigint, size bigint, anchor bigint, content bigint, until bigint"
 
 
 def _found_stretches(docs: DataFrame, length: int) -> DataFrame:
-    """row_id, at, size (bytes), anchor, content (hashes): a row per stretch."""
-    arrow = arrow_schema("row_id bigint, at bigint, size bigint, anchor bigint, content bigint")
+    """row_id, at, size (bytes), anchor, content (hashes), until (of periodic text, else 0): a row per stretch."""
+    arrow = arrow_schema(_STRETCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for row_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode("utf-8", "surrogatepass")
-                if len(raw) < length:
-                    continue
-                first, last, anchors = stretches(raw, length)
-                sizes = [b - a + length for a, b in zip(first, last)]
-                out[0] += [row_id] * len(first)
-                out[1] += first
-                out[2] += sizes
-                out[3] += anchors
-                out[4] += [xxhash.xxh3_64_intdigest(raw[a : a + n]) - (1 << 63) for a, n in zip(first, sizes)]
-                if len(out[0]) > 50_000:
-                    yield record_batch(out, arrow)
-                    out = [[], [], [], [], []]
+                for first, last, anchors, ends in stretches(raw, length):
+                    sizes = [b - a + length for a, b in zip(first, last)]
+                    out[0] += [row_id] * len(first)
+                    out[1] += first
+                    out[2] += sizes
+                    out[3] += anchors
+                    out[4] += [xxhash.xxh3_64_intdigest(raw[a : a + n]) - (1 << 63) for a, n in zip(first, sizes)]
+                    out[5] += ends
+                    if len(out[0]) > 50_000:
+                        yield record_batch(out, arrow)
+                        out = [[], [], [], [], [], []]
             yield record_batch(out, arrow)
 
-    return docs.mapInArrow(run, "row_id bigint, at bigint, size bigint, anchor bigint, content bigint")
+    return docs.mapInArrow(run, _STRETCH)
 
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """row_id, start, end: bytes of the texts (row_id, text) covered by strings that start elsewhere too.
 
     1. All starts of strings are cut into stretches by content alone, so that equal strings lie in
-       stretches of equal anchors.
+       stretches of equal anchors. Periodic text is repeated as it stands; one period of its starts stands for it.
     2. Stretches that are equal as a whole are repeated from end to end. They are counted by hash,
        merged in the map tasks, and need no bytes: this takes most copies.
     3. A stretch that is the only one of its content, with an anchor that others have, may repeat in
@@ -106,13 +132,15 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """
     found = written(_found_stretches(docs, length), "stretches")
     place = F.struct("row_id", "at", "size")
-    content = found.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(place).alias("place"))
+    times = F.sum(F.when(F.col("until") > 0, 2).otherwise(1))  # periodic text repeats what its stretch holds
+    content = found.groupBy("anchor", "content").agg(times.alias("n"), F.min(place).alias("place"))
     content = written(content, "stretch-contents")
     anchors = content.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum((F.col("n") == 1).cast("int")).alias("single"), F.sum("place.size").alias("bytes"))
     anchors = written(anchors.filter("contents > 1 and single > 0"), "stretch-anchors")
 
     repeated = written(content.filter("n > 1").select("anchor", "content"), "stretch-repeated")
-    whole = found.join(repeated, ["anchor", "content"]).select("row_id", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
+    reach = F.greatest(F.col("at") + F.col("size"), F.col("until"))
+    whole = found.join(repeated, ["anchor", "content"]).select("row_id", F.col("at").alias("start"), reach.alias("end"))
 
     open_ = content.join(anchors.select("anchor", "bytes"), "anchor").select(
         F.col("place.row_id").alias("row_id"), F.struct(F.col("place.at").alias("at"), F.col("place.size").alias("size"), "anchor", (F.col("n") > 1).alias("known"), (F.col("bytes") > ANCHOR_BYTES).alias("hot")).alias("s")
@@ -124,7 +152,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
 
 def _cut(wanted: DataFrame) -> DataFrame:
     """row_id, at, anchor, known, hot, raw: the bytes of the wanted stretches."""
-    schema = "row_id bigint, at bigint, anchor bigint, known boolean, hot boolean, raw binary"
+    schema = "row_id binary, at bigint, anchor bigint, known boolean, hot boolean, raw binary"
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +160,11 @@ def _cut(wanted: DataFrame) -> DataFrame:
             rows = []
             for row_id, text, stretches_ in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode("utf-8", "surrogatepass")
-                rows += [(row_id, s["at"], s["anchor"], s["known"], s["hot"], raw[s["at"] : s["at"] + s["size"]]) for s in stretches_]
+                for s in stretches_:
+                    rows.append((row_id, s["at"], s["anchor"], s["known"], s["hot"], raw[s["at"] : s["at"] + s["size"]]))
+                    if len(rows) > 50_000:
+                        yield record_batch(zip(*rows), arrow)
+                        rows = []
             if rows:
                 yield record_batch(zip(*rows), arrow)
 
@@ -145,7 +177,7 @@ def _by_suffix_arrays(stretches_: DataFrame, length: int) -> DataFrame:
     shards = max(1, total // SHARD_BYTES)
     dealt = stretches_.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     dealt = dealt.select("shard", "row_id", "at", "known", "raw").repartition("shard").sortWithinPartitions("shard")
-    arrow = arrow_schema("row_id bigint, start bigint, end bigint")
+    arrow = arrow_schema("row_id binary, start bigint, end bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
@@ -159,7 +191,7 @@ def _by_suffix_arrays(stretches_: DataFrame, length: int) -> DataFrame:
         if rows:
             yield record_batch(shard_repeats(rows, length), arrow)
 
-    return dealt.mapInArrow(run, "row_id bigint, start bigint, end bigint")
+    return dealt.mapInArrow(run, "row_id binary, start bigint, end bigint")
 
 
 def shard_repeats(rows: list, length: int) -> tuple[list, list, list]:
@@ -194,15 +226,16 @@ def shard_repeats(rows: list, length: int) -> tuple[list, list, list]:
 
 def _by_strings(stretches_: DataFrame, length: int) -> DataFrame:
     """The same for the stretches of hot anchors: all their strings by digest."""
-    schema = "row_id bigint, start bigint, known boolean, string binary"
+    schema = "row_id binary, start bigint, known boolean, string binary"
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row_id, at, known, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(raw) - length + 1
-                digests = [xxhash.xxh3_128_digest(raw[i : i + length]) for i in range(n)]
-                yield record_batch(([row_id] * n, range(at, at + n), [known] * n, digests), arrow)
+                for first in range(0, len(raw) - length + 1, 50_000):
+                    n = min(50_000, len(raw) - length + 1 - first)
+                    digests = [xxhash.xxh3_128_digest(raw[i : i + length]) for i in range(first, first + n)]
+                    yield record_batch(([row_id] * n, range(at + first, at + first + n), [known] * n, digests), arrow)
 
     strings = stretches_.select("row_id", "at", "known", "raw").mapInArrow(run, schema)
     repeated = strings.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
@@ -216,11 +249,13 @@ def suffix_array_dedup(docs: DataFrame, length: int = 400, id_col: str = "doc_id
 
     Removes each UTF-8 byte covered by a string of ``length`` bytes that starts anywhere else too,
     in the same text or another, as the texts came in. Texts under ``length`` bytes stay; a null text
-    is empty. Rows that repeat id and text repeat each other, whatever their number. Ids may be
+    is empty. A text may be as long as a row holds; one that repeats itself with a short period costs no more than
+    another. Rows that repeat id and text repeat each other, whatever their number. Ids may be
     null; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.select(F.xxhash64("doc_id", "text").alias("row_id"), "doc_id", "text")
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"), F.col("text"))
+    rows = rows.select(F.unhex(F.md5(named)).alias("row_id"), "doc_id", "text")
     spans = repeated_spans(rows.select("row_id", "text"), length)
     removed = spans.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.join(removed, "row_id", "left").select("doc_id", "text", "spans")

@@ -161,6 +161,42 @@ def brute_spans(texts: list[bytes], length: int):
     return found
 
 
+def periodic_texts(rng):
+    noise = lambda n: "".join(rng.choice("abé \n=") for _ in range(n))
+    unit = noise(rng.choice([1, 1, 2, 3, 7, 15, 24, 26, 60]))
+    run = lambda: (unit * 400)[rng.randrange(len(unit)) :][: rng.choice([39, 40, 41, 60, 80, 81, 120, 121, 300, 700])]
+    texts = [noise(rng.randrange(60)) + run() + noise(rng.randrange(60)) for _ in range(rng.choice([1, 2, 5]))]
+    return texts + [noise(20) + run() + noise(5) + run()] * rng.choice([0, 1])
+
+
+def test_periodic_texts_against_brute_force(make_docs):
+    """Runs of one unit in many texts, of lengths around one string and around one and two periods."""
+    rng = random.Random(11)
+    texts = [t for _ in range(60) for t in periodic_texts(rng)]
+    got = suffix_dedup.suffix_array_dedup(make_docs(list(enumerate(texts))), length=40).collect()
+    want = brute_spans([t.encode() for t in texts], 40)
+    for row in got:
+        assert bytes(row.kept) == want[row.doc_id][0]
+
+
+def test_periodic_text_alone(make_docs):
+    """One text that only repeats itself: every start of its periodic part, and nothing else, goes."""
+    rng = random.Random(12)
+    for case in range(6):
+        (text,) = periodic_texts(rng)[:1]
+        (row,) = suffix_dedup.suffix_array_dedup(make_docs([(1, text)]), length=40).collect()
+        assert bytes(row.kept) == brute_spans([text.encode()], 40)[0][0]
+
+
+def test_stretches_of_a_long_periodic_text_are_few(make_docs):
+    for unit in ("y", "x ", "= =\n"):
+        text = (unit * 5_000_000)[:5_000_000]
+        found = [part for part in suffix_dedup.stretches(text.encode(), 400)]
+        assert sum(len(first) for first, *_ in found) < 30
+    got = suffix_dedup.suffix_array_dedup(make_docs([(1, "y" * 8_000_000), (2, "a" + "y" * 400), (3, "y" * 399)])).collect()
+    assert {r.doc_id: (r.n_bytes, bytes(r.kept)) for r in got} == {1: (8_000_000, b""), 2: (401, b"a"), 3: (399, b"y" * 399)}
+
+
 @pytest.mark.parametrize("hot", [1, 4_000_000])
 def test_byte_strings_against_brute_force(make_docs, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "ANCHOR_BYTES", hot)
