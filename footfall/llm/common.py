@@ -35,6 +35,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows in a batch of texts that goes to Python: some thousand characters each, and several batches lie in memory at once.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows for this session."""
+    if int(spark.conf.get(_BATCH_CONF)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def map_columns(df: DataFrame, schema: str, start: Callable[[], Callable]) -> DataFrame:
     """Maps Arrow batches as Python lists, a list per column.
 
