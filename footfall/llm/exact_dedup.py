@@ -60,9 +60,11 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     Rows that repeat id and text become one. Rows of different texts may share an id: the digest is
     part of the join.
     """
-    kept = exact_dedup(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
-    keep = written(kept.agg(F.count("*").alias("n")), "exact-kept")
+    rows = docs.select("doc_id", normalised("text").alias("norm")).select("doc_id", F.md5("norm").alias("digest"), "norm")
+    # A class's smallest id and its digest name the rows that stay: no row has to look for its class first.
+    keep = written(_classes(rows).select(F.col("keep_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")), "exact-kept")
     same = docs["doc_id"].eqNullSafe(keep["kept_id"]) & (F.sha2(normalised("text"), 256) == keep["kept_sha"])
     matched = docs.join(keep, same, "left_semi")
-    # Only where rows repeat is the text shuffled once more.
-    return matched if keep.filter("n > 1").isEmpty() else matched.dropDuplicates(["doc_id", "text"])
+    # Only where ids repeat is the text shuffled once more.
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    return matched if repeated.isEmpty() else matched.dropDuplicates(["doc_id", "text"])
