@@ -88,28 +88,43 @@ def cleaning_report(ods: DataFrame) -> DataFrame:
 def enrich_city(df: DataFrame, ip_ranges: DataFrame) -> DataFrame:
     """Fill empty cities from ``ip_ranges(ip_from, ip_to, city)``, both ends inclusive, ranges disjoint.
 
-    Only documented, never computed, by the original. An as-of lookup without a
-    range join: ranges are cut along the /24 networks they cover, the rows join on
-    their own /24 network, and an interval test picks the range. So a busy provider's
-    addresses spread over many keys, and a key has at most 256 ranges to test.
+    Only documented, never computed, by the original. A lookup without a range join: ranges are cut into aligned
+    blocks of addresses (:func:`address_blocks`), and for each block size there is an equality join on the address's
+    leading bits. A range of any width gives a few dozen blocks; blocks are broadcast while Spark's statistics say
+    that those of a size are small.
     """
-    address = ip_to_long(F.col("ip"))
-    cuts = ip_ranges.select(
-        ip_to_long(F.col("ip_from")).alias("_lo"),
-        ip_to_long(F.col("ip_to")).alias("_hi"),
-        F.col("city").alias("_city"),
-    )
-    cuts = cuts.withColumn(
-        "_net", F.explode(F.sequence(F.shiftright("_lo", 8), F.shiftright("_hi", 8)))
-    )
-    # One sorted list per network; its length is bounded by the 256 addresses in it.
-    nets = cuts.groupBy("_net").agg(F.sort_array(F.collect_list(F.struct("_lo", "_hi", "_city"))).alias("_ranges"))
-    joined = df.withColumn("_ip", address).withColumn("_net", F.shiftright("_ip", 8)).join(nets, "_net", "left")
-    hit = F.filter("_ranges", lambda r: (F.col("_ip") >= r["_lo"]) & (F.col("_ip") <= r["_hi"]))
-    known = F.coalesce(F.nullif(F.col("city"), F.lit("")), F.get(hit, 0)["_city"], F.lit(""))
+    blocks = address_blocks(ip_ranges)
+    # At most 33 sizes.
+    sizes = sorted(r.bits for r in blocks.select("bits").distinct().collect())
+    joined, found = df.withColumn("_ip", ip_to_long(F.col("ip"))), []
+    for bits in sizes:
+        own = blocks.filter(F.col("bits") == bits).select(F.col("prefix").alias(f"_p{bits}"), F.col("city").alias(f"_c{bits}"))
+        joined = joined.join(own, F.shiftright("_ip", bits) == F.col(f"_p{bits}"), "left")
+        found.append(F.col(f"_c{bits}"))
+    known = F.coalesce(F.nullif(F.col("city"), F.lit("")), *found, F.lit(""))
     return joined.withColumn("city", known).select(*df.columns)
 
 
+def address_blocks(ip_ranges: DataFrame) -> DataFrame:
+    """bits, prefix, city: each range as aligned blocks of ``2 ** bits`` addresses, at most two of a size.
+
+    With the range as [low, high) in blocks of a size, an odd low one is not half of the next larger block, nor is the
+    last one below an odd high; these two stand for themselves, all others go into the next size.
+    """
+    low, high = F.col("_lo"), F.col("_hi")
+    sized = ip_ranges.select(
+        ip_to_long(F.col("ip_from")).alias("_from"),
+        (ip_to_long(F.col("ip_to")) + 1).alias("_to"),
+        "city",
+        F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bits"),
+    )
+    size = F.expr("shiftleft(1L, bits)")
+    sized = sized.withColumns({"_lo": F.ceil(F.col("_from") / size), "_hi": F.floor(F.col("_to") / size)}).filter("_lo < _hi")
+    first = F.when(low % 2 == 1, low)
+    last = F.when((high % 2 == 1) & (low + low % 2 < high), high - 1)
+    return sized.select("bits", "city", F.explode(F.array(first, last)).alias("prefix")).filter("prefix is not null")
+
+
 def ip_to_long(ip: Column) -> Column:
     part = F.split(ip, r"\.")
     return sum(

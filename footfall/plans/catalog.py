@@ -38,11 +38,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-01-31"
 DAY = "2024-01-15"
 NOW = "2024-01-20 12:00:00"
+LATE = "2024-01-30 23:59:00"
 
 IP_RANGES = [
     ("10.0.0.0", "10.0.63.255", "杭州"),
     ("10.0.64.0", "10.0.127.255", "南京"),
     ("10.0.128.0", "10.0.199.255", "重庆"),
+    ("11.0.0.0", "11.255.255.255", "西安"),
 ]
 DEVICE_TIERS = [
     ("Model 0", "旗舰"),
@@ -177,6 +179,14 @@ def _latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.read_latest(spark, path, AS_OF)
 
 
+def _realtime_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PV and UV of the five-minute windows as latest values, read near the end of the log."""
+    path = scratch_dir(spark, "latest")
+    rows = metrics.to_metric_rows(windows.pv_uv_windowed(detail(spark, sf_dir)), ["pv", "uv"], "5 minutes")
+    metrics.merge_latest(spark, metrics.latest_values(rows, "660 seconds"), path, 0)
+    return reports.get_realtime(spark, path, LATE)
+
+
 def _within(found: DataFrame, exact: DataFrame, key: str, estimate: str, error: float) -> DataFrame:
     """Exact counts, and whether the estimates are as near as they should be."""
     near = F.abs(F.col(estimate) - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * error)
@@ -439,6 +449,13 @@ def queries() -> dict[str, Query]:
             lambda s, root: reports.get_retention(s, root, DAY),
         ),
         "funnel_lookup": _lookup("ads_funnel_analysis", funnel.funnel_steps, lambda s, root: reports.get_funnel(s, root, DAY)),
+        "ab_lookup": _lookup(
+            "ads_ab_experiment",
+            experiment.ab_experiment,
+            lambda s, root: reports.get_ab(s, root, "exp_001_home_rec_algo", DAY),
+            *GROUPS,
+        ),
+        "realtime_lookup": _realtime_lookup,
         "daily_range_lookup": _lookup(
             "dws_daily_metrics",
             daily.daily_summary,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.clean import Day, as_date, ods_to_dwd
@@ -15,6 +15,7 @@ from footfall.operators.funnel import funnel_steps
 from footfall.operators.profile import profile_of_days, user_days
 from footfall.operators.retention import RET_DAYS, retention
 from footfall.operators.significance import ab_significance, apply_significance
+from footfall.session import scratch_dir
 from footfall.sinks.tables import write_layer
 from footfall.sources.tables import read_layer
 
@@ -38,7 +39,7 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     days = sorted(as_date(r.dt) for r in history.select("dt").distinct().collect())
 
     write_layer(traffic_summary(today, approx_new=True), root, "dws_daily_metrics", day)
-    settle_new_users(spark, root, [day, *[d for d in days if d > day]])
+    settle_new_users(spark, root, day, newest=day >= max(days, default=day))
 
     # The day completes the N-day retention of the days N before it; later days may be there already.
     bases = [day, *[day - dt.timedelta(days=n) for n in ret_days]]
@@ -54,19 +55,49 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     write_layer(profile_of_days(history), root, "ads_user_profile")
 
 
-def settle_new_users(spark: SparkSession, root: str, days: Sequence[dt.date]) -> None:
-    """First-seen users of ``days``, in order, and their numbers in the daily metrics.
+def settle_new_users(spark: SparkSession, root: str, day: dt.date, newest: bool) -> None:
+    """First-seen users and their numbers in the daily metrics, after ``day`` has been written.
 
-    Each day looks at the first-seen days before it. The newest day is the usual case; when an
-    older one runs again, the days behind it follow, as their new users may have been seen earlier.
+    The newest day, run for the first time, adds its users that no day before has. Any other run may change when
+    users of the day's old or new version were first seen: these users, and no others, get the first of their
+    days anew, in one pass whatever number of days lies behind; only days that gain or lose one are written.
     """
+    known = read_layer(spark, root, "dim_user_first_seen")
+    here = read_layer(spark, root, "dws_user_days", day, day).select("user_id").distinct()
+    was = known.filter(known["dt"] == str(day))
+    if newest and was.isEmpty():
+        others = known.filter(known["dt"] != str(day))
+        found = written(new_users_of_day(here, others).withColumn("first_date", F.lit(day)), "first-seen")
+        touched = [day]
+    else:
+        changed = written(here.unionByName(was.select("user_id")).distinct(), "changed-users")
+        every = read_layer(spark, root, "dws_user_days").join(changed, "user_id", "left_semi")
+        first = written(every.groupBy("user_id").agg(F.min("stat_date").alias("first_date")), "first-days")
+        before = known.join(changed, "user_id", "left_semi").select("first_date")
+        # A row per day.
+        touched = sorted({day, *(r.first_date for r in before.unionByName(first.select("first_date")).distinct().collect())})
+        others = known.filter(known["dt"].isin(*map(str, touched))).join(changed, "user_id", "left_anti")
+        found = written(others.select("user_id", "first_date").unionByName(first), "first-seen")
+    write_days(found, root, "dim_user_first_seen", "first_date", touched)
+
+    counts = read_layer(spark, root, "dim_user_first_seen").filter(F.col("dt").isin(*map(str, touched))).groupBy("first_date").agg(F.count("*").alias("n"))
+    metrics = read_layer(spark, root, "dws_daily_metrics").filter(F.col("dt").isin(*map(str, touched))).drop("dt")
+    joined = metrics.join(counts, F.col("stat_date") == F.col("first_date"), "left").drop("first_date", "new_user_count")
+    rows = written(joined.withColumn("new_user_count", F.coalesce("n", F.lit(0).cast("bigint"))).drop("n"), "new-user-counts")
+    write_layer(rows, root, "dws_daily_metrics")
+
+
+def write_days(rows: DataFrame, root: str, table: str, column: str, days: Sequence[dt.date]) -> None:
+    """Replaces ``days`` of a layer table by the rows that fall on them, also where none do."""
+    write_layer(rows, root, table)
+    filled = {r[column] for r in rows.select(column).distinct().collect()}
     for day in days:
-        here = read_layer(spark, root, "dws_user_days", day, day)
-        before = read_layer(spark, root, "dim_user_first_seen", None, day - dt.timedelta(days=1))
-        new = new_users_of_day(here, before)
-        write_layer(new.withColumn("first_date", F.lit(day)), root, "dim_user_first_seen", day)
-        count = read_layer(spark, root, "dim_user_first_seen", day, day).count()
-        metrics = read_layer(spark, root, "dws_daily_metrics", day, day).drop("dt")
-        # One row, held while its folder is written anew.
-        row = spark.createDataFrame(metrics.collect(), metrics.schema)
-        write_layer(row.withColumn("new_user_count", F.lit(count).cast("bigint")), root, "dws_daily_metrics", day)
+        if day not in filled:
+            write_layer(rows.limit(0), root, table, day)
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """Held in the shared scratch folder, while the tables it came from are written anew."""
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from footfall.plans.catalog import DEVICE_TIERS, IP_RANGES
+from footfall.plans.catalog import DEVICE_TIERS, IP_RANGES, LATE
 
 _TYPES = (
     "'page_view','app_click','search_query','app_download','ad_impression','ad_click','app_install','in_app_purchase'"
@@ -606,6 +606,16 @@ and user_id not in (select user_id from dwd where {_DAY} = date '2024-01-01')"""
             f"select cast(date_trunc('week', {_DAY}) as date) as week, count(distinct user_id) as uv from dwd group by 1"
         ),
         "bitmap_retention": _retention((1, 3, 7, 30), "active"),
+        "ab_lookup": _q(
+            """select experiment_id, stat_date, variant, metric_name, metric_value, metric_unit, user_count,
+  cast(-1.0 as double) as p_value, 0 as is_significant, uplift from results
+where experiment_id = 'exp_001_home_rec_algo' and stat_date = date '2024-01-15'""",
+            **_results(),
+        ),
+        "realtime_lookup": f"""select cast(coalesce(max(case when alive then pv end), 0) as bigint) as pv,
+  cast(coalesce(max(case when alive then uv end), 0) as bigint) as uv
+from (select *, window_start + interval 660 second > timestamp '{LATE}' as alive
+      from ({_pv_uv(300)}) order by window_start desc limit 1)""",
         "daily_range_lookup": (
             f"select * from ({_traffic('stat_date', _DAY)}) where stat_date between date '2024-01-10' and date '2024-01-20'"
         ),

@@ -87,3 +87,18 @@ def test_city_of_a_busy_network(spark, make_events):
     events = make_events([("u", "page_view", "2026-07-10 10:00:00", {"city": "", "ip": ip}) for ip in ips])
     got = {r.ip: r.city for r in clean.enrich_city(events, ranges).collect()}
     assert [got[ip] for ip in ips] == ["A", "A", "A", "", "B", "C", "C", ""]
+
+
+def test_address_blocks_cover_ranges_exactly(spark):
+    """Single addresses, aligned and crooked ranges, a /8 and the whole space: each address lies in one block."""
+    ends = [("0.0.0.0", "0.0.0.0"), ("0.0.0.1", "0.0.0.6"), ("0.0.1.0", "0.0.3.255"), ("9.0.0.1", "9.255.255.254"), ("11.0.0.0", "11.255.255.255"), ("128.0.0.0", "255.255.255.255")]
+    ranges = spark.createDataFrame([(a, b, str(i)) for i, (a, b) in enumerate(ends)], "ip_from string, ip_to string, city string")
+    number = lambda ip: sum(int(x) << s for x, s in zip(ip.split("."), (24, 16, 8, 0)))
+    found = {}
+    for bits, prefix, city in clean.address_blocks(ranges).select("bits", "prefix", "city").collect():
+        found.setdefault(city, []).append((prefix << bits, (prefix + 1) << bits))
+    for i, (a, b) in enumerate(ends):
+        blocks = sorted(found[str(i)])
+        assert blocks[0][0] == number(a) and blocks[-1][1] == number(b) + 1
+        assert all(x[1] == y[0] for x, y in zip(blocks, blocks[1:])) and len(blocks) <= 62
+    assert len(found["4"]) == len(found["5"]) == 1
