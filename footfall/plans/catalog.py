@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from footfall.session import scratch_dir
 from footfall.sinks import metrics, tables
 from footfall.sources import events as event_source
 from footfall.sources.experiments import experiments_df
-from footfall.sources.tables import read_layer
+from footfall.sources.tables import read_buckets, read_layer
 from footfall.sources.testdata import ods, ods_stream
 from footfall.streaming import anomaly, jobs, rollup, sliding
 from footfall.streaming import ranking as live_ranking
@@ -179,6 +180,17 @@ def _latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.read_latest(spark, path, AS_OF)
 
 
+def _bucket_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four samples of 8 of 32 buckets each, which have no row in common and together all: their events per type."""
+    name, path = f"footfall_sample_{uuid.uuid4().hex}", scratch_dir(spark, "samples")
+    tables.write_bucketed(detail(spark, sf_dir), name)
+    for part in range(4):
+        sample = read_buckets(spark, name, range(8 * part, 8 * part + 8))
+        sample.groupBy("event_type").agg(F.count("*").alias("n")).write.mode("append").parquet(path)
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(path).groupBy("event_type").agg(F.sum("n").alias("events"))
+
+
 def _realtime_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PV and UV of the five-minute windows as latest values, read near the end of the log."""
     path = scratch_dir(spark, "latest")
@@ -464,6 +476,7 @@ def queries() -> dict[str, Query]:
         ),
         "top_downloads": on(lambda e: ranking.top_downloads(e, AS_OF), "properties", days=("2024-01-15", AS_OF)),
         "top_downloads_of_day": on(lambda e: ranking.top_downloads_of_day(e, DAY), "properties", days=("2024-01-13", "2024-01-17")),
+        "bucket_sample": _bucket_sample,
         "sample_users": on(lambda e: ranking.sample_users(e, 50, seed=7)),
         "kpi_snapshot": on(lambda e: reports.kpi_snapshot(e, NOW, minutes=60), days=("2024-01-19", "2024-01-20")),
         "daily_trend": on(

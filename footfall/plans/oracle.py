@@ -606,6 +606,7 @@ and user_id not in (select user_id from dwd where {_DAY} = date '2024-01-01')"""
             f"select cast(date_trunc('week', {_DAY}) as date) as week, count(distinct user_id) as uv from dwd group by 1"
         ),
         "bitmap_retention": _retention((1, 3, 7, 30), "active"),
+        "bucket_sample": _q("select event_type, count(*) as events from dwd group by 1"),
         "ab_lookup": _q(
             """select experiment_id, stat_date, variant, metric_name, metric_value, metric_unit, user_count,
   cast(-1.0 as double) as p_value, 0 as is_significant, uplift from results

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.operators.clean import Day, as_date
 from footfall.sinks.tables import PARTITION, layer_schema, table_exists, table_path
 
+#: Where a bucket's number stands in the name of a file that Spark wrote.
+_BUCKET = re.compile(r"_(\d{5})(?:\.c\d+)?\.[^/]+$")
+
 
 def read_layer(
     spark: SparkSession, root: str, table: str, date_from: Day | None = None, date_to: Day | None = None
@@ -25,6 +29,20 @@ def read_layer(
     return df
 
 
+def read_buckets(spark: SparkSession, table: str, buckets: Sequence[int]) -> DataFrame:
+    """The rows of some buckets of a bucketed table: a repeatable sample of its keys that reads no other file.
+
+    All rows of a key are in one bucket, so of a table of 32 buckets, k of them hold all rows of about k / 32 of the keys. The
+    number of a bucket is part of its files' names; only that list comes to the driver, no row does.
+    """
+    whole = spark.table(table)
+    wanted = set(buckets)
+    files = [f for f in whole.inputFiles() if (named := _BUCKET.search(f)) and int(named[1]) in wanted]
+    if not files:
+        return whole.limit(0)
+    return spark.read.schema(whole.schema).format(files[0].rsplit(".", 1)[1]).load(files)
+
+
 def day_slices(day: Day, time_col: str = "event_time", slices: int = 24) -> list[str]:
     """Half-open time predicates that together cover the day, one per JDBC partition."""
     start = dt.datetime.combine(as_date(day), dt.time())

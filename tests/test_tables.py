@@ -11,7 +11,7 @@ from footfall.plans import reports
 from footfall.plans.daily_run import run_daily
 from footfall.sinks import metrics, tables
 from footfall.sources import events as sources
-from footfall.sources.tables import day_slices, read_jdbc_table, read_layer
+from footfall.sources.tables import day_slices, read_buckets, read_jdbc_table, read_layer
 from footfall.sources.testdata import ods
 from tests.conftest import SF, rows
 
@@ -62,6 +62,18 @@ def test_bucketed_table_joins_without_shuffle(spark, make_events):
     assert joined.count() == 20
 
 
+def test_buckets_as_samples(spark, make_events):
+    """A sample reads the files of its buckets only, and has all rows of their keys and no others."""
+    events = make_events([("a", "page_view", f"{DAY} 10:00:{i % 60:02d}", {"event_id": f"e{i % 150}"}) for i in range(300)])
+    tables.write_bucketed(events.repartition(3), "bucketed_sample", buckets=16)
+    whole = spark.table("bucketed_sample")
+    sample = read_buckets(spark, "bucketed_sample", [2, 7, 11])
+    bucket = F.pmod(F.hash("event_id"), F.lit(16))
+    assert rows(sample, "event_id", "event_time") == rows(whole.filter(bucket.isin(2, 7, 11)), "event_id", "event_time")
+    assert 0 < len(sample.inputFiles()) < len(whole.inputFiles()) / 3
+    assert sample.columns == whole.columns and read_buckets(spark, "bucketed_sample", [99]).count() == 0
+
+
 def test_jsonl_and_decode(spark, tmp_path):
     lines = [
         '{"event_id":"1","event_type":"page_view","user_id":"u","event_time":"2026-07-10 10:00:00","extra":1}',
