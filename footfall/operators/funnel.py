@@ -6,7 +6,7 @@ import datetime as dt
 import functools
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.expressions import (
@@ -127,13 +127,14 @@ def ordered_reach(
     come strictly later than step k-1 and within ``within`` of the first step.
     ``start_k`` is the latest first step of a chain that reaches step k, null if none.
 
-    A key may hold a third of all rows, so no key is ever read as one list. Events of
-    one instant merge to a bit set, then a short time bin folds into a summary, then
-    the summaries of a key fold in time order. The summary of a bin is
+    A key may hold a third of all rows, so no key is ever read as one list or by one task. Events of
+    one instant merge to a bit set. Within a short time bin, running window functions carry the chains
+    from row to row: the rows of a bin may spill, so a minute with millions of events of one key needs
+    no list of them. A bin becomes one row,
       start_k   latest start of a chain 1 … k inside the bin,
       end_i_j   earliest end of a chain i … j inside the bin (for chains begun before it),
-    and two summaries combine exactly, so bins lose nothing. ``bin_size`` bounds the one
-    list read at a time: for users with millions of events a minute take a smaller bin.
+    and the bins of a key, whose number its time span bounds, fold in time order. That combines
+    exactly, so bins lose nothing.
     ``mask`` overrides which steps an event counts as (bit k-1 for step k).
     """
     mask = _step_bits(steps) if mask is None else mask
@@ -141,7 +142,6 @@ def ordered_reach(
     limit = interval_micros(within)
     bin_micros = interval_micros(bin_size)
     pairs = [(i, j) for i in range(2, n + 1) for j in range(i, n + 1)]
-    nothing = F.lit(None).cast("bigint")
 
     instants = (
         dwd.filter(F.col("event_type").isin(*[kind for _, kind in steps]))
@@ -149,26 +149,27 @@ def ordered_reach(
         .agg(F.bit_or(mask).alias("mask"))
     )
 
-    def at_instant(acc: Column, x: Column) -> Column:
-        did = lambda k: x["mask"].bitwiseAND(1 << (k - 1)) != 0
-        start = [F.when(did(1), x["t"]).otherwise(acc["start_1"]).alias("start_1")]
-        for k in range(2, n + 1):
-            before = acc[f"start_{k - 1}"]
-            reached = F.when(did(k) & (x["t"] - before <= limit), before)
-            start.append(F.greatest(acc[f"start_{k}"], reached).alias(f"start_{k}"))
-        end = []
-        for i, j in pairs:
-            ready = did(j) if i == j else did(j) & acc[f"end_{i}_{j - 1}"].isNotNull()
-            end.append(F.coalesce(acc[f"end_{i}_{j}"], F.when(ready, x["t"])).alias(f"end_{i}_{j}"))
-        return F.struct(*start, *end)
-
-    empty_starts = [nothing.alias(f"start_{k}") for k in range(1, n + 1)]
-    empty_ends = [nothing.alias(f"end_{i}_{j}") for i, j in pairs]
-    bins = (
-        instants.groupBy(*keys, F.floor(F.col("t") / bin_micros).alias("bin"))
-        .agg(F.sort_array(F.collect_list(F.struct("t", "mask"))).alias("instants"))
-        .select(*keys, "bin", F.aggregate("instants", F.struct(*empty_starts, *empty_ends), at_instant).alias("s"))
+    in_bin = Window.partitionBy(*keys, "bin").orderBy("t")
+    earlier = in_bin.rowsBetween(Window.unboundedPreceding, -1)
+    did = lambda k: F.col("mask").bitwiseAND(1 << (k - 1)) != 0
+    chains = instants.withColumn("bin", F.floor(F.col("t") / bin_micros)).withColumns(
+        {"start_1": F.when(did(1), F.col("t")), **{f"end_{i}_{i}": F.when(did(i), F.col("t")) for i in range(2, n + 1)}}
     )
+    for k in range(2, n + 1):
+        # Instants of a bin are different, so the rows before are strictly earlier ones.
+        last = {"_last": F.max(f"start_{k - 1}").over(earlier)}
+        ready = {f"_ready_{i}": F.max(F.col(f"end_{i}_{k - 1}").isNotNull()).over(earlier) for i in range(2, k)}
+        chains = chains.withColumns(last | ready)
+        chains = chains.withColumns(
+            {f"start_{k}": F.when(did(k) & (F.col("t") - F.col("_last") <= limit), F.col("_last"))}
+            | {f"end_{i}_{k}": F.when(did(k) & F.col(f"_ready_{i}"), F.col("t")) for i in range(2, k)}
+        ).drop("_last", *ready)
+
+    starts = [F.max(f"start_{k}").alias(f"start_{k}") for k in range(1, n + 1)]
+    ends = [F.min(f"end_{i}_{j}").alias(f"end_{i}_{j}") for i, j in pairs]
+    bins = chains.groupBy(*keys, "bin").agg(*starts, *ends)
+    bins = bins.select(*keys, "bin", F.struct(*[f"start_{k}" for k in range(1, n + 1)], *[f"end_{i}_{j}" for i, j in pairs]).alias("s"))
+    no_starts = [F.lit(None).cast("bigint").alias(f"start_{k}") for k in range(1, n + 1)]
 
     def at_bin(acc: Column, b: Column) -> Column:
         out = [F.greatest(acc["start_1"], b["s"]["start_1"]).alias("start_1")]
@@ -183,7 +184,7 @@ def ordered_reach(
     return (
         bins.groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct("bin", "s"))).alias("bins"))
-        .select(*keys, F.aggregate("bins", F.struct(*empty_starts), at_bin).alias("reach"))
+        .select(*keys, F.aggregate("bins", F.struct(*no_starts), at_bin).alias("reach"))
         .select(*keys, "reach.*")
     )
 

@@ -332,6 +332,24 @@ def _stream_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_available(joined.select("event_id", "user_id", "event_time"), "stream")
 
 
+def _stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log arrives in three parts, each with some rows of days gone by; the stream is restarted for every part."""
+    jobs.configure_streaming(spark)
+    folder = scratch_dir(spark, "late")
+    events = ods(spark, sf_dir).select("event_id", "event_time", "duration")
+    third = F.when(F.dayofmonth("event_time") <= 10, 0).when(F.dayofmonth("event_time") <= 20, 1).otherwise(2)
+    part = F.least(third + F.when(F.hour("event_time") == 3, 1).otherwise(0), F.lit(2))
+    for n in range(3):
+        events.filter(part == n).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+        jobs.to_table(jobs.mark_late(stream), out, checkpoint, availableNow=True).awaitTermination()
+    marked = spark.read.parquet(f"{folder}/out")
+    return marked.groupBy(F.to_date("event_time").alias("stat_date"), "is_late").agg(
+        F.count("*").alias("events"), F.sum("duration").alias("duration_ms")
+    )
+
+
 def queries() -> dict[str, Query]:
     on, stream = _on_detail, _on_stream
     return {
@@ -451,6 +469,7 @@ def queries() -> dict[str, Query]:
         "stream_sessions": stream(sessions.session_windows),
         "stream_anomaly": stream(lambda e: anomaly.stream_anomaly(e, "6 hours")),
         "stream_followed": _stream_followed,
+        "stream_late_rows": _stream_late_rows,
         "stream_pv_uv_sliding": stream(sliding.stream_pv_uv_sliding),
         "stream_download_ranking": stream(lambda e: live_ranking.stream_download_ranking(e, "6 hours", "1 hour", 5)),
         "stream_realtime_metrics": _stream_realtime_metrics,

@@ -843,6 +843,13 @@ from ({_slide(300, 5, 'dwd')}) where {_closed(300)} group by window_start"""
             """select event_id, user_id, event_time from (select distinct event_id, user_id, event_time from live
   where event_type = 'app_click') a where exists (select 1 from live b where b.event_type = 'app_download'
   and b.user_id = a.user_id and b.event_time > a.event_time and b.event_time <= a.event_time + interval '6' hour)"""
+        ),
+        "stream_late_rows": _q(
+            """select cast(event_time as date) as stat_date, is_late, count(*) as events, cast(sum(duration) as bigint) as duration_ms
+from (select x.*, coalesce(event_time < (select max(event_time) from parts p where p.part < x.part) - interval '5' second, false) as is_late
+  from parts x) group by 1, 2""",
+            parts="""select *, least(case when day(event_time) <= 10 then 0 when day(event_time) <= 20 then 1 else 2 end
+  + case when hour(event_time) = 3 then 1 else 0 end, 2) as part from ods""",
         ),
         "top_downloads": _q(
             top("event_time >= timestamp '2024-01-24' and event_time < timestamp '2024-02-01'", f"coalesce({name_or_null}, '')")

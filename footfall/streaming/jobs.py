@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import sys
 import time
+from collections.abc import Iterator
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from footfall.functions.expressions import valid_event_type, valid_user
+from footfall.functions.expressions import interval_micros, valid_event_type, valid_user
 from footfall.operators.clean import CHECKED, fill_defaults, parse_times
 from footfall.session import configure_streaming, scratch_dir
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "60 seconds"
 
+# The functions of this module travel to the executors by value: nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def with_event_time(events: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """Event time from ``event_time``, rows up to ``delay`` out of order."""
@@ -128,49 +137,70 @@ def read_incremental_daily(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def split_late(events: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK, **trigger) -> StreamingQuery:
-    """Send rows behind the watermark aside instead of dropping them.
+def mark_late(events: DataFrame, delay: str = WATERMARK, shards: int | None = None) -> DataFrame:
+    """All rows of a stream with ``is_late``: behind the watermark that their micro-batch runs under.
 
-    Spark drops late rows silently, so each batch is compared with the highest event
-    time of the batches before it, which the batch before it left as one row. Every
-    batch writes folders of its own number: a repeated batch overwrites, never doubles.
+    Spark drops late rows silently where it keeps time-bounded state. A stateful function without a timeout gets them
+    too, and it knows the watermark, which the checkpoint carries over restarts. It keeps no state of its own. A null
+    time is not late. Rows are dealt by hash over ``shards`` groups, by default two per shuffle partition.
     """
     spark = events.sparkSession
-    mark_schema = "high timestamp"
+    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Longs travel as text: pandas makes floats of a column with nulls.
+    kinds = {f.name: T.StringType() if isinstance(f.dataType, T.LongType) else f.dataType for f in events.schema}
+    out = T.StructType([*[T.StructField(n, kind) for n, kind in kinds.items()], T.StructField("is_late", T.BooleanType())])
+
+    def judge(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs() * 1000
+        for part in parts:
+            # A missing number compares as false.
+            yield part.assign(is_late=part["_micros"] < watermark).drop(columns=["_shard", "_micros"])
+
+    shard = F.pmod(F.xxhash64("event_id", "event_time"), F.lit(shards)).alias("_shard")
+    columns = [F.col(n).cast(kind) if kind != events.schema[n].dataType else F.col(n) for n, kind in kinds.items()]
+    timed = with_event_time(events, delay).select(*columns, shard, F.unix_micros("event_time").alias("_micros"))
+    marked = timed.groupBy("_shard").applyInPandasWithState(judge, out, "unused int", "append", GroupStateTimeout.NoTimeout)
+    return marked.select(*[F.col(f.name).cast(f.dataType) for f in events.schema], "is_late")
+
+
+def split_late(events: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK, **trigger) -> StreamingQuery:
+    """Send rows behind the watermark aside instead of dropping them: folders ``late`` and ``on_time``.
+
+    Every batch writes folders of its own number: a repeated batch overwrites, never doubles.
+    """
 
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            if batch_id:
-                before = spark.read.schema(mark_schema).parquet(f"{path}/marks/batch={batch_id - 1}")
-            else:
-                before = spark.createDataFrame([(None,)], mark_schema)
-            reached = batch.agg(F.max("event_time").alias("high")).unionByName(before)
-            reached.agg(F.max("high").alias("high")).write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
-            high = before.withColumnRenamed("high", "_high")
-            # A one-row table: its broadcast is bounded by construction.
-            rows = batch.join(F.broadcast(high))
-            late = F.coalesce(F.col("event_time") < F.col("_high") - F.expr(f"interval {delay}"), F.lit(False))
-            for name, part in (("late", rows.filter(late)), ("on_time", rows.filter(~late))):
-                part.drop("_high").write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+            for name, part in (("late", batch.filter("is_late")), ("on_time", batch.filter("not is_late"))):
+                part.drop("is_late").write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
         finally:
             batch.unpersist()
 
-    writer = events.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+    writer = mark_late(events, delay).writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
 
 
-def followed_within(first: DataFrame, then: DataFrame, within: str) -> DataFrame:
+def followed_within(first: DataFrame, then: DataFrame, within: str, slices: int = 4) -> DataFrame:
     """Stream-stream interval join: rows of ``first`` whose user has a row of ``then`` at most ``within`` later.
 
     A semi-join: each row (id, user, time) comes out once, however many rows follow, and no pairs
     are made. Rows of ``then`` with one user and time are one. Both inputs carry a watermark on
     ``event_time``, which bounds the state.
+
+    A user may hold a third of all rows, so the join key is user, time bucket and slice. A row of ``first`` stands in
+    the bucket of its time and in one slice by the hash of its id; what may follow it lies in this bucket or the next,
+    so a row of ``then`` stands in its own bucket and the one before, in every slice. No row of ``first`` meets a row
+    twice. More ``slices`` spread a user further and copy the smaller, merged side more often.
     """
-    a = first.select("event_id", "user_id", "event_time").alias("a")
-    b = then.select("user_id", "event_time").dropDuplicates(["user_id", "event_time"]).alias("b")
+    bucket = F.floor(F.unix_micros("event_time") / interval_micros(within)).alias("bucket")
+    piece = F.pmod(F.xxhash64("event_id"), F.lit(slices)).cast("int").alias("slice")
+    a = first.select("event_id", "user_id", "event_time", bucket, piece).alias("a")
+    merged = then.select("user_id", "event_time").dropDuplicates(["user_id", "event_time"])
+    before = merged.select("user_id", "event_time", F.explode(F.array(bucket, bucket - 1)).alias("bucket"))
+    b = before.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")).alias("b")
     on = F.expr(
-        "a.user_id = b.user_id and b.event_time > a.event_time "
+        "a.user_id = b.user_id and a.bucket = b.bucket and a.slice = b.slice and b.event_time > a.event_time "
         f"and b.event_time <= a.event_time + interval {within}"
     )
-    return a.join(b, on, "left_semi")
+    return a.join(b, on, "left_semi").select("event_id", "user_id", "event_time")

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.operators.funnel import AD_STEPS, funnel_contained, funnel_ordered, funnel_steps, ordered_reach
 from footfall.operators.windows import funnel_windowed
@@ -105,3 +106,17 @@ def test_ordered_chain_over_midnight(make_events):
     counts = lambda *days: [r.user_count for r in funnel_ordered(make_events(steps + late), days or None).orderBy("stat_date", "step_order").collect()]
     assert counts() == [2, 1, 1, 0]
     assert counts("2026-07-10") == [2, 1, 1, 0] and counts("2026-07-11") == [0, 0, 0, 0]
+
+
+def test_ordered_funnel_of_a_dense_minute(spark):
+    """300,000 instants of one user in one minute: no list of them, and the same chain as by hand."""
+    kinds = F.element_at(F.array(*[F.lit(k) for _, k in AD_STEPS]), (F.col("id") / 75_000).cast("int") + 1)
+    events = spark.range(300_000).select(
+        F.lit("u").alias("user_id"), kinds.alias("event_type"), F.timestamp_micros(F.lit(1_783_641_600_000_000) + F.col("id") * 150).alias("event_time")
+    )
+    (reach,) = ordered_reach(events, ["user_id"], AD_STEPS, "1 minute").collect()
+    start = 1_783_641_600_000_000
+    # The latest impression is followed by all steps in time.
+    assert [reach[f"start_{k}"] for k in range(1, 5)] == [start + 74_999 * 150] * 4
+    plan = ordered_reach(events, ["user_id"], AD_STEPS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1 and "collect_list(struct(bin" in plan.replace("named_struct", "struct")

@@ -80,6 +80,31 @@ def test_split_late(spark, feed):
     assert of("on_time") == [("11:58:00",), ("11:59:57",), ("12:00:00",), ("12:00:01",)]
 
 
+def test_late_rows_after_a_restart(spark, feed):
+    """The watermark comes from the checkpoint; null times are not late, and rows keep all their columns."""
+    feed(("u", "page_view", "11:58:00"), ("u", "page_view", "12:00:00", {"event_time": None}))
+    feed(("u", "page_view", "12:00:00", {"duration": None}))
+    first, _ = run(spark, jobs.mark_late(feed.stream()), feed.root)
+    assert first.filter("is_late").count() == 0 and first.filter("event_time is null").count() == 1
+    feed(("u", "page_view", "11:59:57"), ("v", "app_click", "11:54:00", {"city": "x"}), ("u", "page_view", "11:59:55"))
+    out, _ = run(spark, jobs.mark_late(feed.stream()), feed.root)
+    assert out.count() == 6 and out.columns == [*feed.stream().columns, "is_late"]
+    assert rows(out.filter("is_late"), "user_id", "event_type", "duration", "city") == [("v", "app_click", 0, "x")]
+
+
+def test_late_marks_keep_values(spark, tmp_path):
+    """Nulls and longs beyond a double's digits come through."""
+    configure_streaming(spark)
+    at = F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("event_time")
+    some = lambda c: F.when(F.col("id") % 3 != 0, c)
+    events = spark.range(50).select(
+        F.col("id").cast("string").alias("event_id"), at, some(F.col("id").cast("int")).alias("n"), some(F.col("id") + (1 << 53) + 1).alias("big")
+    )
+    events.write.parquet(f"{tmp_path}/in")
+    out, _ = run(spark, jobs.mark_late(spark.readStream.schema(events.schema).parquet(f"{tmp_path}/in")), tmp_path)
+    assert rows(out.drop("is_late").select(F.struct("*").cast("string"))) == rows(events.select(F.struct("*").cast("string")))
+
+
 def test_recovery_equals_single_run(spark, feed):
     """Stop after the first files, start again from the checkpoint."""
     build = lambda: windows.pv_uv_windowed(jobs.clean_stateless(feed.stream()))
@@ -129,6 +154,24 @@ def test_interval_join(spark, feed):
     assert rows(out, "user_id") == [("u",)]
 
 
+def test_interval_join_of_a_hot_user(spark, feed):
+    """Whatever bucket and slice, each row comes out once; one user's rows lie in many state partitions."""
+    clicks = [("hot", "app_click", f"10:{m:02d}:{s:02d}") for m in range(30) for s in range(0, 60, 5)]
+    after = [("hot", "app_download", f"10:{m:02d}:30") for m in range(0, 30, 2)]
+    feed(*clicks, *after, *[(f"u{i}", "app_click", "10:00:00") for i in range(300)])
+    of = lambda kind: jobs.clean_stateless(feed.stream()).filter(F.col("event_type") == kind)
+    out, _ = run(spark, jobs.followed_within(of("app_click"), of("app_download"), "100 seconds", slices=16), feed.root)
+    at = lambda t: int(t[3:5]) * 60 + int(t[6:])
+    want = sorted(t for _, _, t in clicks if any(at(t) < at(d) <= at(t) + 100 for _, _, d in after))
+    assert [r[0] for r in rows(out.select(F.date_format("event_time", "HH:mm:ss")))] == want
+
+    a = of("app_click").select("user_id").schema
+    assert a == out.select("user_id").schema
+    state = spark.read.format("statestore").option("operatorId", 0).option("joinSide", "left").load(f"{feed.root}/job/ckpt")
+    per_task = [r["count"] for r in state.filter("value.user_id = 'hot'").groupBy("partition_id").count().collect()]
+    assert len(per_task) == 4 and max(per_task) <= 2 * sorted(per_task)[len(per_task) // 2]
+
+
 def test_incremental_daily(spark, feed):
     root = f"{feed.root}/daily"
     feed(("a", "page_view", "10:00:00"), ("b", "app_download", "10:01:00"))
