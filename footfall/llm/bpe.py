@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from footfall.llm.common import map_columns
+from footfall.llm.common import map_columns, vocabulary_file
 
 #: The split of the byte-level vocabularies, a fixed value.
 SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -41,7 +41,7 @@ class Bpe:
     """
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
+        with open(vocabulary_file(path), encoding="utf-8") as file:
             spec = json.load(file)
         alphabet = byte_alphabet()
         ids = spec["model"]["vocab"]

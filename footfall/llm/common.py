@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,14 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary_file(vocabulary: str) -> str:
+    """Where a vocabulary lies on this machine: a path as it is, a bare name among the installed public ones.
+
+    Called in the tasks, so that each executor finds its own copy.
+    """
+    return vocabulary if os.path.dirname(vocabulary) else public_tokenizers.path(vocabulary)
+
+
 def text_of(column: str) -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

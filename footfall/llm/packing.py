@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import arrow_schema, record_batch
+from footfall.llm.common import arrow_schema, record_batch, vocabulary_file
 
 #: Windows that are packed together; a block holds that many windows' tokens, times FILL.
 BLOCK_WINDOWS = 64
@@ -94,7 +94,7 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks already use all cores
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer = Tokenizer.from_file(vocabulary_file(vocabulary))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [str(token) for token in self.tokenizer.get_added_tokens_decoder().values()]

@@ -1,8 +1,10 @@
-"""Personal data: expressions propose spans, checksums confirm them, nearby words move the score."""
+"""Personal data and secrets: expressions propose spans, checksums or the spread of characters confirm them, nearby words move the score."""
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -14,23 +16,28 @@ from pyspark.sql.types import StringType
 from footfall.llm.common import map_columns
 
 #: Order of kinds that start at the same place; the first four are those of the contract.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone", "secret")
 RANK = {kind: i for i, kind in enumerate(KINDS)}
 
 #: Score of a confirmed span before its surroundings are looked at, and what a context word adds.
-SCORES = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "local_phone": 0.3}
+SCORES = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "local_phone": 0.3, "secret": 0.4}
 CONTEXT_BONUS = 0.3
 THRESHOLD = 0.6
 #: Code points before a span in which context words count.
 CONTEXT_WIDTH = 40
 CONTEXT = {
-    "email": re.compile(r"mail|contact|kontakt|correo|courriel", re.I),
-    "ip": re.compile(r"\bip\b|address|adresse|host|server|client", re.I),
-    "card": re.compile(r"card|carte|karte|tarjeta|visa|credit", re.I),
-    "phone": re.compile(r"phone|tel|call|mobil|fax|llam", re.I),
+    "email": re.compile(r"mail|contact|kontakt|correo|courriel|courrier", re.I),
+    "ip": re.compile(r"\bip\b|address|adresse|dirección|host|server|serveur|servidor|client", re.I),
+    "card": re.compile(r"card|carte|karte|tarjeta|visa|credit|crédit|kredit", re.I),
+    "phone": re.compile(r"phone|tel|tél|call|appel|anruf|mobil|móvil|handy|fax|llam", re.I),
     "iban": re.compile(r"iban|account|konto|compte|cuenta", re.I),
-    "ssn": re.compile(r"ssn|social|security", re.I),
-    "local_phone": re.compile(r"phone|\btel\b|\bcall\b|mobil|\bfax\b", re.I),
+    "ssn": re.compile(r"ssn|social|security|sozial|sécurité|seguridad", re.I),
+    "local_phone": re.compile(r"phone|\btel\b|\btél\b|telef|téléf|\bcall\b|\bappel|\banruf|mobil|móvil|\bfax\b|\bllam", re.I),
+    "secret": re.compile(
+        r"token|secret|passw|passphrase|api.?key|access.?key|private.?key|credential|\bpwd\b|\bauth|bearer"
+        r"|jeton|mot de passe|clé|schlüssel|kennwort|contraseña|clave",
+        re.I,
+    ),
 }
 
 # Maximal chains, each matched in one pass over the text without trying a place twice.
@@ -43,6 +50,14 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
 
+#: Long runs of the characters that keys and tokens are written in, and how long and how mixed a secret's run is.
+_RUN = re.compile(r"[A-Za-z0-9_+/-]{20,}+={0,2}")
+SECRET_LENGTH, SECRET_BITS = 256, 3.0
+#: Beginnings of keys of well-known services, which say by themselves what they are.
+_KEY_START = re.compile(r"AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|xoxb-|xoxp-|AIza|eyJ")
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+_KEY_BLOCK_END = re.compile(r"-----END [A-Z ]{0,30}PRIVATE KEY-----")
+
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
@@ -128,9 +143,33 @@ def _local_phones(text: str) -> Iterator[tuple[int, int]]:
         yield match.span()
 
 
+def bits_per_character(text: str) -> float:
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    """Blocks of private keys; elsewhere runs of letters and digits too mixed for words or numbers."""
+    blocks, until = [], 0
+    if "PRIVATE KEY-----" in text:
+        for begin in _KEY_BLOCK.finditer(text):
+            if begin.start() < until:
+                continue
+            end = _KEY_BLOCK_END.search(text, begin.end())
+            if end is None:
+                break
+            until = end.end()
+            blocks.append((begin.start(), until))
+    yield from blocks
+    for match in _RUN.finditer(text):
+        run = match.group()
+        if len(run) <= SECRET_LENGTH and _ANY_DIGIT.search(run) and _ANY_LETTER.search(run) and bits_per_character(run) >= SECRET_BITS:
+            yield match.span()
+
+
 BASE = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones}
-ADDED = {"iban": _ibans, "ssn": _ssns, "local_phone": _local_phones}
+ADDED = {"iban": _ibans, "ssn": _ssns, "local_phone": _local_phones, "secret": _secrets}
 _ANY_DIGIT = re.compile("[0-9]")
+_ANY_LETTER = re.compile("[A-Za-z]")
 
 
 def find_spans(text: str) -> list[Span]:
@@ -154,7 +193,8 @@ def find_spans(text: str) -> list[Span]:
 
 def _scored(text: str, kind: str, start: int, end: int) -> Span:
     near = CONTEXT[kind].search(text[max(0, start - CONTEXT_WIDTH) : start])
-    return Span(kind, start, end, round(min(1.0, SCORES[kind] + CONTEXT_BONUS * bool(near)), 2))
+    shaped = kind == "secret" and (_KEY_START.match(text, start) or text.startswith("-----BEGIN", start))
+    return Span(kind, start, end, round(min(1.0, SCORES[kind] + CONTEXT_BONUS * (bool(near) + bool(shaped))), 2))
 
 
 def redacted(text: str, spans: list[Span]) -> str:

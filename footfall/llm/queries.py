@@ -12,7 +12,8 @@ from footfall.llm import token_counts, warc, whitening
 from footfall.llm.common import map_columns, read_documents
 from footfall.session import scratch_dir
 
-TOKENIZERS = "/opt/tokenizers"
+#: Names of installed public vocabularies; a path would do as well.
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents before and after two cleaning steps: personal data becomes a mark, and
     lines that an earlier line of the document repeats go."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
-    edited = token_counts.edited_counts(cleaning_edits(docs), f"{TOKENIZERS}/byte_bpe_50k.json")
+    edited = token_counts.edited_counts(cleaning_edits(docs), BYTE_BPE)
     return edited.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "chars_reencoded", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -102,7 +103,7 @@ def line_and_span_edits(text: str) -> list[dict]:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read_documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack_documents(read_documents(spark, sf_dir), WORD_BPE)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +111,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_digests(read_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return bpe.bpe_digests(read_documents(spark, sf_dir), BYTE_BPE)
 
 
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
