@@ -16,7 +16,7 @@ from footfall.llm.kneser_ney import QualityClassifier
 from footfall.llm.packing import pack_documents
 from footfall.llm.pii import redact_documents
 
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+VOCABULARY = "word_bpe_49k.json"
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 #: No SQL: the stages fit a language model, merge word pieces and pack by differencing.
