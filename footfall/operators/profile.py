@@ -38,27 +38,60 @@ def user_profile(dwd: DataFrame) -> DataFrame:
 
 
 def profile_of_days(days: DataFrame) -> DataFrame:
-    """Totals, first and last activity, most used device and the two labels, one row per user.
+    """Totals, first and last activity, most used device and the two labels, one row per user."""
+    return profile_of_parts(profile_parts(days))
 
-    Grouping sets merge once per (user, day) and once per (user, device), so the last
-    step sees as many rows of a user as it has days and devices.
+
+#: What a part adds up; ``days`` counts the days of a user.
+PART_SUMS = ("events", "downloads", "searches", "purchases", "days")
+PART_KEY = ("user_id", "by_day", "device_model")
+
+
+def profile_parts(days: DataFrame) -> DataFrame:
+    """``user_days`` merged to one row per (user, day) and one per (user, device).
+
+    All columns but the key add up, or take the least and greatest, over any set of days: parts of
+    different days may be united, and those of a day taken away again by ``signed``.
     """
     merged = days.groupingSets(
         [["user_id", "stat_date"], ["user_id", "device_model"]], "user_id", "stat_date", "device_model"
     ).agg(
         (F.grouping("stat_date") == 0).alias("by_day"),
-        *[F.sum(c).alias(c) for c in ("events", "downloads", "searches", "purchases")],
+        *[F.sum(c).alias(c) for c in PART_SUMS[:-1]],
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+    )
+    return merged.select(
+        *PART_KEY, *PART_SUMS[:-1], F.col("by_day").cast("bigint").alias("days"), "first_seen", "last_seen"
+    )
+
+
+def signed(parts: DataFrame, sign: int) -> DataFrame:
+    """Parts to add (+1), or to take away (-1): those have no times, as an extreme cannot be taken away."""
+    times = [F.col(c) if sign > 0 else F.lit(None).cast("timestamp").alias(c) for c in ("first_seen", "last_seen")]
+    return parts.select(*PART_KEY, *[(F.col(c) * sign).alias(c) for c in PART_SUMS], *times)
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """One part per user, and one per user and device; those that nothing is left of go."""
+    merged = parts.groupBy(*PART_KEY).agg(
+        *[F.sum(c).alias(c) for c in PART_SUMS],
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
     )
+    return merged.filter("events > 0")
+
+
+def profile_of_parts(parts: DataFrame) -> DataFrame:
+    """The profile of parts, merged or not: the last step sees as many rows of a user as it has days and devices."""
     by_day = F.col("by_day")
     of_days = lambda c: F.coalesce(F.sum(F.when(by_day, F.col(c))), F.lit(0))
     device = F.when(
         ~by_day, F.struct((-F.col("events")).alias("w"), F.col("device_model").alias("v"))
     )
-    totals = merged.groupBy("user_id").agg(
+    totals = parts.groupBy("user_id").agg(
         of_days("events").alias("total_events"),
-        count_where(by_day).alias("active_days"),
+        of_days("days").alias("active_days"),
         of_days("downloads").alias("downloads"),
         of_days("searches").alias("searches"),
         of_days("purchases").alias("purchases"),

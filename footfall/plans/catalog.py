@@ -23,6 +23,8 @@ from footfall.operators import (
     windows,
 )
 from footfall.plans import reports
+from footfall.plans.daily_run import written
+from footfall.plans.profile_state import settle_profile
 from footfall.plans.realtime_run import run_realtime
 from footfall.session import scratch_dir
 from footfall.sinks import metrics, tables
@@ -282,6 +284,20 @@ def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, root, "ads_user_profile")
 
 
+def _profile_by_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles from running sums: first the mornings of the days before ``DAY``, then all days in their whole version."""
+    root = scratch_dir(spark, "profile-sums")
+    events = detail(spark, sf_dir, "device_model")
+    mornings = events.filter((F.col("event_time") < F.lit(DAY).cast("timestamp")) & (F.hour("event_time") < 12))
+    for part in (mornings, events):
+        fresh = written(profile.user_days(part), "user-days")
+        # A row per day.
+        days = [r.stat_date for r in fresh.select("stat_date").distinct().collect()]
+        parts = settle_profile(spark, root, fresh, days)
+        tables.write_layer(fresh, root, "dws_user_days")
+    return profile.profile_of_parts(parts)
+
+
 def _lookup(table: str, build: Callable[[DataFrame], DataFrame], read: Callable, *columns: str) -> Query:
     """Write a result table, look up in it."""
 
@@ -403,6 +419,7 @@ def queries() -> dict[str, Query]:
         "app_conversion": on(funnel.app_conversion, "properties"),
         # Profiles
         "user_profile": on(profile.user_profile, "device_model"),
+        "profile_by_deltas": _profile_by_deltas,
         "profile_report": on(lambda e: profile.profile_report(profile.user_profile(e)), "device_model"),
         "user_preferences": _preferences,
         # Experiments

@@ -12,9 +12,10 @@ from footfall.operators.clean import Day, as_date, ods_to_dwd
 from footfall.operators.daily import new_users_of_day, traffic_summary
 from footfall.operators.experiment import ab_experiment, ab_samples
 from footfall.operators.funnel import funnel_steps
-from footfall.operators.profile import profile_of_days, user_days
+from footfall.operators.profile import profile_of_parts, user_days
 from footfall.operators.retention import RET_DAYS, retention
 from footfall.operators.significance import ab_significance, apply_significance
+from footfall.plans.profile_state import settle_profile
 from footfall.session import scratch_dir
 from footfall.sinks.tables import write_layer
 from footfall.sources.tables import read_layer
@@ -23,9 +24,9 @@ from footfall.sources.tables import read_layer
 def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int] = RET_DAYS) -> None:
     """Clean the day, write it once, and compute every result from the written tables.
 
-    Only the day itself is read in detail. What needs the history (new users,
-    retention, profiles) reads one row per user, day and device of all days there are, also
-    later ones. So the days may run in any order and any number of times, and
+    Only the day itself is read in detail. Retention reads one row per user and device of the days it
+    compares, also later ones; profiles come from running sums, to which the day adds its new
+    version minus its old one. So the days may run in any order and any number of times, and
     leave the same tables.
     """
     day = as_date(date)
@@ -33,7 +34,9 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     write_layer(ods_to_dwd(raw.drop("dt")), root, "dwd_user_behavior", day)
     today = read_layer(spark, root, "dwd_user_behavior", day, day)
 
-    write_layer(user_days(today), root, "dws_user_days", day)
+    of_day = written(user_days(today), "user-days")
+    parts = settle_profile(spark, root, of_day, [day])
+    write_layer(of_day, root, "dws_user_days", day)
     history = read_layer(spark, root, "dws_user_days")
     # A row per day folder.
     days = sorted(as_date(r.dt) for r in history.select("dt").distinct().collect())
@@ -52,7 +55,7 @@ def run_daily(spark: SparkSession, root: str, date: Day, ret_days: Sequence[int]
     results = apply_significance(ab_experiment(today), ab_significance(ab_samples(today)))
     write_layer(results, root, "ads_ab_experiment", day)
 
-    write_layer(profile_of_days(history), root, "ads_user_profile")
+    write_layer(profile_of_parts(parts), root, "ads_user_profile")
 
 
 def settle_new_users(spark: SparkSession, root: str, day: dt.date, newest: bool) -> None:

@@ -629,6 +629,7 @@ from (select *, window_start + interval 660 second > timestamp '{LATE}' as alive
 from dwd where event_type in ('app_click','app_download') and {name_or_null} is not null group by 1, 2""",
         ),
         "user_profile": _q("select * from profile", profile=_PROFILE),
+        "profile_by_deltas": _q("select * from profile", profile=_PROFILE),
         "profile_report": _q(
             f"""select users, high_active, {percent('high_active', 'users')} as high_active_rate, paying,
   {percent('paying', 'users')} as paying_rate
