@@ -74,6 +74,30 @@ def drop_versions(spark: SparkSession, path: str, versions: list[str]) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers N of the folders ``<name>=N`` that match ``path``, a folder or a pattern of folders, in order."""
+    pattern = _child(spark, path, f"{name}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(status.getPath().getName().split("=", 1)[1]) for status in found or [])
+
+
+def folder_days(spark: SparkSession, path: str) -> list[str]:
+    pattern = _child(spark, path, f"{PARTITION}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getName().split("=", 1)[1] for status in found or [])
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Was this folder written to its end, by a job of its own?"""
+    mark = _child(spark, path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _child(spark: SparkSession, path: str, name: str):
     return spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from footfall.functions.expressions import interval_micros, valid_event_type, valid_user
 from footfall.operators.clean import CHECKED, fill_defaults, parse_times
 from footfall.session import configure_streaming, scratch_dir
+from footfall.sinks.tables import PARTITION, drop_folder, folder_days, folder_numbers, is_complete
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "60 seconds"
@@ -93,11 +93,20 @@ def run_available(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
-def incremental_daily(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+_SUMS = ("events", "downloads", "searches")
+_COUNTS = "stat_date date, user_id string, events long, downloads long, searches long, dt string, batch long"
+#: Numbers of one run; its batches have even ones.
+_RUN = 2_000_000_000
+
+
+def incremental_daily(
+    events: DataFrame, path: str, checkpoint: str, compact_every: int = 50, **trigger
+) -> StreamingQuery:
     """Keep per-day counts current as rows arrive: a running aggregate whose touched days are overwritten.
 
     The state is one row per user and day. Days are windows, so the watermark drops
-    the state of days that can no longer change.
+    the state of days that can no longer change. Every ``compact_every`` batches the folders of the batches
+    are merged, see ``compact_daily``.
     """
     users = events.groupBy(F.window("event_time", "1 day"), "user_id").agg(
         F.count("*").alias("events"),
@@ -105,27 +114,58 @@ def incremental_daily(events: DataFrame, path: str, checkpoint: str, **trigger)
         F.count(F.when(F.col("event_type") == "search_query", 1)).alias("searches"),
     )
 
-    run = time.time_ns() // 1_000_000 * 1_000_000
+    spark = events.sparkSession
+    # Behind all that any earlier run has stored, whatever its checkpoint and the clock.
+    run = max(folder_numbers(spark, f"{path}/{PARTITION}=*", "batch"), default=0) // _RUN + 1
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # The changed users of this batch, one small file set per batch. Counts only grow, and those of
         # a later run, even from a new checkpoint, stand behind all earlier ones.
         rows = batch.withColumn("stat_date", F.to_date("window.start")).drop("window")
-        rows = rows.withColumns({"dt": F.date_format("stat_date", "yyyy-MM-dd"), "batch": F.lit(run + batch_id)})
+        number = run * _RUN + 2 * batch_id
+        rows = rows.withColumns({"dt": F.date_format("stat_date", "yyyy-MM-dd"), "batch": F.lit(number)})
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "dt", "batch"
         ).parquet(path)
+        if batch_id % compact_every == compact_every - 1:
+            compact_daily(batch.sparkSession, path, compact_every)
 
     writer = users.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
 
 
+def compact_daily(spark: SparkSession, path: str, max_open: int = 50) -> list[str]:
+    """Merge the batch folders of every day that has ``max_open`` or more of them; returns these days.
+
+    Batches have even numbers. The merged folder has the odd number behind the newest batch that it holds, and per
+    user that batch's row, so it says what they say, and a reader may meet both. Its success mark is
+    the switch: folders behind a merged one that is complete go at the next call, so those who have
+    them open can finish. A call that is stopped anywhere loses nothing and is made good by the next one.
+    """
+    merged_days = []
+    for day in folder_days(spark, path):  # a name per day
+        of_day = f"{path}/{PARTITION}={day}"
+        numbers = folder_numbers(spark, of_day, "batch")
+        merged = max((n for n in numbers if n % 2 and is_complete(spark, f"{of_day}/batch={n}")), default=-1)
+        for n in numbers:
+            if n < merged:
+                drop_folder(spark, f"{of_day}/batch={n}")
+        open_ = [n for n in numbers if n > merged]
+        batches = [n for n in open_ if n % 2 == 0]
+        if len(batches) < max_open:
+            continue
+        folders = [f"{of_day}/batch={n}" for n in [*([merged] if merged >= 0 else []), *batches]]
+        rows = spark.read.schema(_COUNTS).option("basePath", path).parquet(*folders)
+        newest = rows.groupBy("stat_date", "user_id").agg(F.max(F.struct("batch", *_SUMS)).alias("n"))
+        target = f"{of_day}/batch={batches[-1] + 1}"
+        newest.select("stat_date", "user_id", *[f"n.{c}" for c in _SUMS]).write.mode("overwrite").parquet(target)
+        merged_days.append(day)
+    return merged_days
+
+
 def read_incremental_daily(spark: SparkSession, path: str) -> DataFrame:
     """The current day totals: per user and day the newest row counts."""
-    schema = (
-        "stat_date date, user_id string, events long, downloads long, searches long, dt string, batch long"
-    )
-    rows = spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(_COUNTS).parquet(path)
     newest = rows.groupBy("stat_date", "user_id").agg(
         F.max(F.struct("batch", "events", "downloads", "searches")).alias("n")
     )

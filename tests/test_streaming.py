@@ -1,6 +1,7 @@
 """Streams: late rows, recovery, agreement with batch, snapshots."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,8 +35,6 @@ def feed(spark, tmp_path, make_events):
         lines = [r.value for r in metrics.event_messages(make_events(fixed)).collect()]
         (source / f"{n:04d}.json").write_text("\n".join(lines))
         # File streams order by modification time.
-        import os
-
         os.utime(source / f"{n:04d}.json", (1_700_000_000 + n, 1_700_000_000 + n))
 
     write.stream = lambda: stream_events_jsonl(spark, str(source), max_files=1)
@@ -355,3 +354,39 @@ def test_newest_copy_on_the_stream(spark, feed):
     feed(("u", "page_view", "10:00:30"))
     out, _ = run(spark, jobs.stream_clean_newest(feed.stream()), feed.root)
     assert rows(out, "event_id", "city") == [("x", "new")]
+
+
+def _daily_folders(root):
+    return sorted(int(n.split("=")[1]) for n in os.listdir(f"{root}/dt=2026-07-10") if n.startswith("batch="))
+
+
+def _write_batch(spark, root, number, *users):
+    rows_ = [(dt.date(2026, 7, 10), user, n, 0, 0) for user, n in users]
+    frame = spark.createDataFrame(rows_, "stat_date date, user_id string, events long, downloads long, searches long")
+    frame.write.mode("overwrite").parquet(f"{root}/dt=2026-07-10/batch={number}")
+    os.remove(f"{root}/dt=2026-07-10/batch={number}/_SUCCESS")  # a stream's batch has its mark at the table
+
+
+def test_folders_stay_few(spark, tmp_path):
+    """Eighteen batches, merged by fours: few folders, the same counts at every step, stopped merges do no harm."""
+    root, run = str(tmp_path / "daily"), 7 * 2_000_000_000
+    for i in range(18):
+        _write_batch(spark, root, run + 2 * i, (f"u{i % 4}", i + 1), ("all", i + 1))
+        before = rows(jobs.read_incremental_daily(spark, root))
+        if i == 9:  # a merge that was stopped: without its mark it hides nothing
+            _write_batch(spark, root, run + 2 * i + 1, ("all", i + 1))
+        jobs.compact_daily(spark, root, 4)
+        assert rows(jobs.read_incremental_daily(spark, root)) == before
+        assert len(_daily_folders(root)) <= 2 * 4 + 3
+    assert before[0][1:3] == (18 + 18 + 17 + 16 + 15, 5)
+    assert run not in _daily_folders(root) and run + 34 in _daily_folders(root)
+
+
+def test_a_running_stream_merges_its_folders(spark, feed):
+    root = f"{feed.root}/daily"
+    for i in range(7):
+        feed(("a", "page_view", f"10:0{i}:00"), (f"u{i}", "page_view", f"10:0{i}:30"))
+    jobs.incremental_daily(jobs.clean_stateless(feed.stream()), root, f"{root}-ckpt", 2, availableNow=True).awaitTermination()
+    assert rows(jobs.read_incremental_daily(spark, root), "pv", "uv") == [(14, 8)]
+    numbers = _daily_folders(root)
+    assert any(n % 2 for n in numbers) and len(numbers) <= 5
