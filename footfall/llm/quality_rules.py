@@ -19,6 +19,10 @@ MAX_DOCUMENTS = 30
 #: A document is depleted if less than this percentage of its words is left without such lines.
 MIN_LEFT_PERCENT = 30
 
+#: What the line rule counts, and the column that tells one from another.
+DOCUMENTS, TEXTS = "documents", "texts"
+_UNITS = {DOCUMENTS: "doc_id", TEXTS: "text_hash"}
+
 SPACES = "\x20\t\n\x0b\x0c\r"
 COUNTS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
@@ -85,14 +89,17 @@ def frequent_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    unit: str = DOCUMENTS,
 ) -> DataFrame:
     """host, line_hash, n_documents of the lines that more than ``max_documents`` documents of a host have.
 
-    Documents of the same text count once: what removes copies is another operator. Counted in two
-    steps, so that no key brings all rows of a line together: first the different (host, line, text),
-    then their number; both merge in the map tasks.
+    ``unit="documents"`` counts different ids. ``unit="texts"`` counts documents of one text once, for tables
+    whose copies are left to another operator. Counted in two steps, so that no key brings all rows of a line
+    together: first the different (host, line, unit), then their number; both merge in the map tasks.
     """
-    once = _lines(docs, id_col, text_col, host_col).groupBy("host", "line_hash", "text_hash").agg(F.lit(1).alias("one"))
+    if unit not in _UNITS:
+        raise ValueError(f"unit must be one of {sorted(_UNITS)}, not {unit!r}")
+    once = _lines(docs, id_col, text_col, host_col).groupBy("host", "line_hash", _UNITS[unit]).agg(F.lit(1).alias("one"))
     counts = once.groupBy("host", "line_hash").agg(F.count("*").alias("n_documents"))
     return counts.filter(F.col("n_documents") > max_documents)
 
@@ -104,6 +111,7 @@ def quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
+    unit: str = DOCUMENTS,
 ) -> DataFrame:
     """doc_id, the five counts, n_line_words (words in frequent lines), base_failed, kept.
 
@@ -111,11 +119,14 @@ def quality_rules(
     an ordinary join, which Spark may split where one line has many rows. A document is kept if it
     passes the base rules and enough of its words stand in other lines.
 
+    ``unit`` is what the line rule counts, see ``frequent_lines``. By documents, copies count each: a page that stands in
+    more than ``max_documents`` copies on one host has frequent lines only, and all its copies go.
+
     Rows that share an id are one document for the line rule. A null id or host is a value like any
     other; a null text has no words and fails. An empty table gives no rows.
     """
     counts = document_counts(docs, id_col, text_col)
-    frequent = written(frequent_lines(docs, max_documents, id_col, text_col, host_col), "frequent-lines")
+    frequent = written(frequent_lines(docs, max_documents, id_col, text_col, host_col, unit), "frequent-lines")
     frequent = frequent.select(F.col("host").alias("f_host"), F.col("line_hash").alias("f_line"))
     lines = _lines(docs, id_col, text_col, host_col).drop("text_hash")
     met = lines.join(frequent, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line_hash") == F.col("f_line")))

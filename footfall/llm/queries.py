@@ -192,7 +192,7 @@ lines as (
     where regexp_matches(line, '[^\x20\x09-\x0D]')
 ),
 dups as (select doc_id, count(*) - count(distinct line) as n_dup_lines from lines group by doc_id),
-frequent as (select source, norm from lines group by source, norm having count(distinct text) > 30),
+frequent as (select source, norm from lines group by source, norm having count(distinct doc_id) > 30),
 met as (
     select doc_id, sum(len(string_split(l.norm, ' '))) as n_line_words
     from lines l join frequent f on f.source is not distinct from l.source and f.norm = l.norm group by doc_id

@@ -222,16 +222,26 @@ def test_counts_against_plain_rules():
 def test_line_frequency(make_docs):
     body = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
     menu = "Home  About\nHOME about"
-    rows = [(i, f"{menu}\n{body(i)}", "en", "a") for i in range(40)] + [(100 + i, " \n".join([f"the line {k} " * 6 for k in range(8)] + [str(i)]), "en", "b") for i in range(40)]
+    page = "\n".join(" ".join(f"item{k}n{n}" for n in range(12)) for k in range(8))  # 96 words, none repeated
+    rows = [(i, f"{menu}\n{body(i)}", "en", "a") for i in range(40)]
+    rows += [(100 + i, f"{page}\nnumber {i}", "en", "b") for i in range(40)]  # little but shared lines
+    rows += [(150 + i, f"{page}\nnumber {i}", "en", "d") for i in range(30)]  # as many as are allowed
     rows += [(200, f"{menu}\n{body(1)}", "en", "c"), (300, None), (301, "")]
     rows += [(400 + i, "same text " + body(7), "en", None) for i in range(40)]
+    rows += [(500, f"{page}\nagain {n}", "en", "e") for n in range(40)]  # rows of one id
     docs = make_docs(rows)
     got = {r.doc_id: r for r in quality_rules.quality_rules(docs, max_documents=30).collect()}
     assert all(got[i].n_line_words == 4 and got[i].kept for i in range(40))
-    assert all(not got[100 + i].kept and not got[100 + i].base_failed for i in range(40) if not got[100 + i].base_failed)
-    assert got[200].n_line_words == 0 and got[200].kept
+    assert all(not got[100 + i].kept and not got[100 + i].base_failed and got[100 + i].n_line_words == 96 for i in range(40))
+    assert all(got[150 + i].kept and got[150 + i].n_line_words == 0 for i in range(30))
+    assert got[200].n_line_words == 0 and got[200].kept and got[500].n_line_words == 0 and got[500].kept
     assert got[300].base_failed and not got[301].kept
-    assert all(got[400 + i].n_line_words == 0 and got[400 + i].kept for i in range(40))
+    assert all(got[400 + i].n_line_words == 62 and not got[400 + i].kept and not got[400 + i].base_failed for i in range(40))
+    by_text = {r.doc_id: r for r in quality_rules.quality_rules(docs, max_documents=30, unit="texts").collect()}
+    assert all(by_text[400 + i].n_line_words == 0 and by_text[400 + i].kept for i in range(40))
+    assert not any(by_text[100 + i].kept for i in range(40)) and not by_text[500].kept
+    with pytest.raises(ValueError):
+        quality_rules.frequent_lines(docs, unit="rows")
     lines = quality_rules.frequent_lines(docs, 30)
     cleaned = {r.doc_id: r.text for r in quality_rules.clean_text(docs, lines).collect()}
     assert cleaned[5] == body(5) and cleaned[200] == f"{menu}\n{body(1)}"
