@@ -1,17 +1,20 @@
-"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text."""
+"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
+
+The model is that of ``character_model``; the one of fixed size over classes of characters is here.
+"""
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.character_model import FOLDS, CharacterModel, fold_of
 from footfall.llm.common import arrow_schema, bound_batches, record_batch, text_of, written
 
 #: Symbols in an n-gram. With the alphabet below, tables have at most SYMBOLS ** ORDER rows, whatever the text.
@@ -26,8 +29,6 @@ QUANTILE = 0.99
 #: How far a text lies above the median counts as if so many symbols of the median followed: little
 #: text is little evidence.
 PRIOR_SYMBOLS = 200
-#: Texts are dealt into so many parts, and each is scored by the model of the other parts: no text is known to its model.
-FOLDS = 5
 #: Languages with fewer trusted documents take the quantiles of all.
 MIN_TRUSTED = 50
 
@@ -71,11 +72,6 @@ def ngram_codes(text: str) -> np.ndarray:
     return codes
 
 
-def fold_of(text: str) -> int:
-    """Copies of a text are in one fold."""
-    return crc32(text.encode("utf-8", "surrogatepass")) % FOLDS
-
-
 def count_ngrams(texts: DataFrame) -> DataFrame:
     """fold, code, n of all n-grams of the column ``text``; each task sends each n-gram of a fold once."""
     schema = "fold int, code int, n bigint"
@@ -256,6 +252,19 @@ def judged(scores: DataFrame, by_language: DataFrame, median: float | None, limi
     return found.withColumn("_kept", (F.col("_symbols") > 0) & F.coalesce(F.col("_excess") <= F.col("_limit"), F.lit(True)))
 
 
+class ClassModel:
+    """The bounded model: symbols are classes of characters, and a table of all n-grams goes to every task."""
+
+    def __init__(self, trusted: DataFrame):
+        self.tables = fit_folds(trusted)
+
+    def scored(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        return scored(docs, self.tables, text_col).drop(text_col)
+
+
+MODELS = {"characters": CharacterModel, "classes": ClassModel}
+
+
 class QualityClassifier:
     """A model of the documents that ``labels`` trusts, and the limits of each language.
 
@@ -263,23 +272,28 @@ class QualityClassifier:
     documents that were never trusted too. ``labels`` has doc_id, quality, toxic. All trusted documents train the model and set the limits;
     without any, nothing but documents without text is rejected. A null id is never trusted; rows
     that share an id are all labelled by it. Other columns are ignored.
+
+    ``units`` are the model's symbols: "characters" of any script, whose n-grams grow with the text and meet it in joins
+    (digits are read as 0), or "classes", a coarse model of fixed size.
     """
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, text_col: str = "text", lang_col: str = "lang"):
+    def __init__(self, docs: DataFrame, labels: DataFrame, text_col: str = "text", lang_col: str = "lang", units: str = "characters"):
         self.text_col, self.lang_col = text_col, lang_col
-        good = trusted_ids(labels)
+        good = trusted_ids(labels).hint("merge")  # a merge join at every size: labels grow with the documents
         bound_batches(docs.sparkSession)
-        # A merge join at every size: labels grow with the documents. The trusted texts are written once, to be
-        # counted and scored; all others are scored once, by whoever asks for results.
-        rows = docs.select("doc_id", F.col(lang_col).alias("_lang"), text_of(text_col).alias("text"))
-        texts = written(rows.join(good.hint("merge"), "doc_id", "left_semi").select("_lang", "text"), "trusted-texts")
-        self.docs, self.tables = docs, fit_folds(texts)
-        self.by_language, self.median, self.limit = limits(scored(texts, self.tables).drop("text"))
+        rows = docs.select("doc_id", text_of(text_col).alias("text"))
+        self.docs, self.model = docs, MODELS[units](rows.join(good, "doc_id", "left_semi").select("text"))
+        self.scores = self._scores(docs)
+        self.by_language, self.median, self.limit = limits(self.scores.join(good, "doc_id", "left_semi"))
+
+    def _scores(self, docs: DataFrame) -> DataFrame:
+        """doc_id, _lang, _key (of the text), _cost, _symbols: a row per row."""
+        rows = docs.select("doc_id", F.col(self.lang_col).alias("_lang"), _key(self.text_col).alias("_key"), text_of(self.text_col).alias("text"))
+        return written(self.model.scored(rows), "scores")
 
     def results(self) -> DataFrame:
         """doc_id, lang, n_symbols, perplexity (null without text), excess, limit, kept: a row per row."""
-        rows = self.docs.select("doc_id", F.col(self.lang_col).alias("_lang"), F.col(self.text_col))
-        found = judged(scored(rows, self.tables, self.text_col), self.by_language, self.median, self.limit)
+        found = judged(self.scores, self.by_language, self.median, self.limit)
         perplexity = F.when(F.col("_symbols") > 0, F.exp("_cost"))
         return found.select(
             "doc_id",
@@ -292,10 +306,16 @@ class QualityClassifier:
         )
 
     def keep(self, docs: DataFrame) -> DataFrame:
-        """The rows of ``docs`` that are kept, with their columns; nothing is shuffled but the limits."""
-        rows = docs.select(F.struct("*").alias("_row"), F.col(self.lang_col).alias("_lang"))
-        found = judged(scored(rows, self.tables, f"_row.{self.text_col}"), self.by_language, self.median, self.limit)
-        return found.filter("_kept").select("_row.*")
+        """The rows of ``docs`` that are kept, with their columns. Rows of one id, text and language are one case."""
+        scores = self.scores if docs is self.docs else self._scores(docs)
+        kept = judged(scores, self.by_language, self.median, self.limit).filter("_kept").select("doc_id", "_key", "_lang")
+        rows = docs.select(F.struct("*").alias("_whole"), F.col("doc_id").alias("_id"), _key(self.text_col).alias("_k"), F.col(self.lang_col).alias("_l"))
+        same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_k") == F.col("_key")) & F.col("_l").eqNullSafe(F.col("_lang"))
+        return rows.join(kept.hint("merge"), same, "left_semi").select("_whole.*")
+
+
+def _key(text_col: str) -> Column:
+    return F.unhex(F.md5(text_of(text_col)))
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:

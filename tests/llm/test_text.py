@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from footfall.llm import bpe, kneser_ney, packing, pii, quality_rules, queries, token_counts
+from footfall.llm import bpe, character_model, kneser_ney, packing, pii, quality_rules, queries, token_counts
 from footfall.llm.common import vocabulary_file
 from tests.conftest import SF
 
@@ -204,6 +204,97 @@ def test_classifier_cases(make_docs, spark):
     assert kneser_ney.quality_classifier(make_docs([]), labels).count() == 0
 
 
+def brute_character_costs(texts):
+    """The default model of one fold from its definition, over strings and with dictionaries."""
+    order, start, end = character_model.ORDER, "\uffff", "\ufffe"
+
+    def symbols(text):
+        text = re.sub(r"\d", "0", " ".join(re.split(r"\s+", text.lstrip())))
+        raw = text.encode("utf-16-le")
+        return [chr(raw[i] + 256 * raw[i + 1]) for i in range(0, len(raw), 2)]
+
+    def grams(text):
+        padded = [start] * (order - 1) + symbols(text) + [end]
+        return ["".join(padded[i : i + order]) for i in range(len(padded) - order + 1)]
+
+    counts = [Counter() for _ in range(order + 1)]
+    for text in texts:
+        counts[order].update(grams(text) if symbols(text) else ())
+    for k in range(order - 1, 0, -1):
+        counts[k].update(gram[1:] for gram in counts[k + 1])
+    levels = []
+    for k in range(order + 1):
+        n = Counter(counts[k].values())
+        d = character_model.usable_discounts(n[1], n[2], n[3], n[4])
+        total, freed = Counter(), Counter()
+        for gram, c in counts[k].items():
+            total[gram[:-1]] += c
+            freed[gram[:-1]] += d[min(c, 3) - 1]
+        levels.append((counts[k], d, total, freed))
+
+    def p(gram):
+        if not gram:
+            return 1 / 65536
+        table, d, total, freed = levels[len(gram)]
+        context, lower = gram[:-1], p(gram[1:])
+        if context not in total:
+            return lower
+        c = table.get(gram, 0)
+        return (c - d[min(c, 3) - 1] if c else 0) / total[context] + freed[context] / total[context] * lower
+
+    return lambda text: -np.mean([np.log(p(gram)) for gram in grams(text)])
+
+
+@pytest.mark.parametrize("hot", [0, 40, 1 << 17])
+def test_character_model_equals_its_definition(make_docs, monkeypatch, hot):
+    """Every fold's model, whatever share of its n-grams goes to the tasks and whatever share through the join."""
+    monkeypatch.setattr(character_model, "HOT", hot)
+    words = "the cat sat on mat кот сидел на коврике 猫 は マット 😀 é ́ 07".split()
+    rng = random.Random(5)
+    trusted = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(40)] + [None, "", " \n"]
+    model = character_model.CharacterModel(make_docs(list(enumerate(trusted))).select("text"))
+    assert model.all_hot == (hot > 40)
+    texts = trusted + ["the cat", "zzz!\n\n zzz", "THE CAT", "кот", "ток", "漢字", "x", "� 12 ٣"]
+    texts += texts[-8:] * 2
+    found = model.scored(make_docs(list(enumerate(texts))).select("doc_id", "text")).collect()
+    fold = lambda t: character_model.fold_of(t or "")
+    cost = [brute_character_costs([t for t in trusted if t and fold(t) != f]) for f in range(character_model.FOLDS)]
+    assert len(found) == len(texts)
+    for row in found:
+        text = texts[row.doc_id]
+        if row._symbols:
+            assert row._cost == pytest.approx(cost[fold(text)](text), rel=1e-7)
+        else:
+            assert not (text or "").strip()
+
+
+def test_other_scripts_are_judged_by_their_characters(make_docs, spark):
+    """Words of one length in another alphabet are other words: the model tells texts apart that share all classes."""
+    rng = random.Random(6)
+    known, other = ("мама", "мыла", "раму", "утро", "снег"), ("щъюэ", "фцхж", "ёыэщ", "жхцф", "юэщъ")
+    text = lambda words: " ".join(rng.choice(words) for _ in range(60))
+    docs = make_docs([(i, text(known), "ru") for i in range(80)] + [(100, text(known), "ru"), (101, text(other), "ru")])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in kneser_ney.quality_classifier(docs, labels).collect()}
+    assert not got[101].kept and got[101].perplexity > 100 * got[100].perplexity
+    coarse = {r.doc_id: r for r in kneser_ney.QualityClassifier(docs, labels, units="classes").results().collect()}
+    assert coarse[101].perplexity == pytest.approx(coarse[100].perplexity, rel=0.01)
+
+
+def test_kept_rows_are_those_judged_kept(make_docs, spark):
+    """Repeated rows, null ids and null languages are kept or not as a row like them is."""
+    rows = [(i, f"Some words of number {i} and more of them", "en") for i in range(60)]
+    rows += [(1, "##$$%%&&|| " * 30, None), (1, rows[1][1], None), (None, rows[2][1], None), (None, "§§§ " * 90, "en"), rows[3], rows[3]]
+    docs = make_docs(rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2, 60)], "doc_id long, quality int, toxic int")
+    model = kneser_ney.QualityClassifier(docs, labels)
+    key = lambda r: (r.doc_id if r.doc_id is not None else -1, r.lang or "")
+    want = sorted(key(r) for r in model.results().collect() if r.kept)
+    for table in (docs, docs.filter("true")):
+        assert sorted(key(r) for r in model.keep(table).collect()) == want
+    assert len(want) == 64 and want.count((3, "en")) == 3
+
+
 # --- quality rules
 
 
