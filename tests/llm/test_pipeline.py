@@ -1,5 +1,7 @@
 """The pipeline's stages: what each keeps, and all of them against plain versions."""
 
+import random
+
 import corpus_pipeline
 from footfall.llm import pii
 from tests.conftest import SF
@@ -43,3 +45,14 @@ def test_stages_on_odd_rows(spark, make_docs):
             assert state.columns == docs.columns
         packed = corpus_pipeline.STAGES[-1][1](spark, state, SF)
         assert packed.count() >= 0
+
+
+def test_quality_stage_judges_every_script(spark, make_docs, tmp_path):
+    """Trusted documents of a language in another alphabet stay; one of as many letters that none of them has goes."""
+    rng = random.Random(8)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(60))
+    known, other = ("мама", "мыла", "раму", "утро", "снег"), ("щъюэ", "фцхж", "ёыэщ", "жхцф", "юэщъ")
+    docs = make_docs([(i, text(known), "ru") for i in range(80)] + [(100, text(known), "ru"), (101, text(other), "ru")])
+    spark.createDataFrame([(i, 1, 0) for i in range(80)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, str(tmp_path)).collect()}
+    assert 101 not in kept and 100 in kept and len(kept) >= 80
