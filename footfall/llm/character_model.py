@@ -263,7 +263,7 @@ class CharacterModel:
         """A row each: what n-grams at hand cost, and the others of the text with their numbers."""
         shared = rows.sparkSession.sparkContext.broadcast((self.hot_codes, self.hot_weights, np.array(self.base), self.all_hot))
         kind = rows.schema["_rest"].dataType.simpleString()
-        schema = f"_rest {kind}, _row bigint, _fold int, _symbols bigint, _sum double, _codes array<bigint>, _counts array<int>"
+        schema = f"_rest {kind}, _row bigint, _fold int, _symbols bigint, _sum double, _codes array<bigint>, _counts array<bigint>"
         arrow = arrow_schema(schema)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,30 +303,35 @@ def _portions(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield start, texts
 
 
-def text_costs(grams: list, sizes: np.ndarray, folds: np.ndarray, codes: np.ndarray, weights: np.ndarray, all_hot: bool):
-    """Sum of the weights at hand for each text, and the n-grams without one: a list of keys and one of numbers per text."""
-    whole, where = np.unique(np.concatenate(grams), return_inverse=True)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    found = np.zeros((len(whole), FOLDS))
-    open_owner, open_code = [], []
-    for size in range(1, ORDER + 1):
-        keys = shorter(whole, size)
-        at = np.minimum(np.searchsorted(codes, keys), len(codes) - 1)
-        hit = codes[at] == keys
-        found += np.where(hit[:, None], weights[at], 0.0)
-        if not all_hot:
-            missed = np.flatnonzero(~hit[where])
-            open_owner.append(owner[missed])
-            open_code.append(keys[where[missed]])
-    sums = np.bincount(owner, found[where, np.repeat(folds, sizes)], len(sizes))
-    offsets, keys, counts = np.zeros(len(sizes) + 1, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if open_code and sum(map(len, open_code)):
-        owner, keys = np.concatenate(open_owner), np.concatenate(open_code)
-        by = np.lexsort((keys, owner))
-        owner, keys = owner[by], keys[by]
-        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))))
-        counts = np.diff(np.append(first, len(keys)))
-        owner, keys = owner[first], keys[first]
-        offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(sizes))))).astype(np.int32)
-    lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (keys.view(np.int64), counts.astype(np.int32))]
+def text_costs(grams: list, sizes: np.ndarray, folds: np.ndarray, codes: np.ndarray, weights: np.ndarray, all_hot: bool, chunk: int = 2 * CHUNK):
+    """Sum of the weights at hand for each text, and the n-grams without one: a list of keys and one of numbers per text.
+
+    A long text is done a part at a time.
+    """
+    every, owners = np.concatenate(grams), np.repeat(np.arange(len(sizes)), sizes)
+    sums, missed = np.zeros(len(sizes)), []
+    for at in range(0, len(every), chunk):
+        owner = owners[at : at + chunk]
+        whole, where = np.unique(every[at : at + chunk], return_inverse=True)
+        found = np.zeros((len(whole), FOLDS))
+        for size in range(1, ORDER + 1):
+            keys = shorter(whole, size)
+            place = np.minimum(np.searchsorted(codes, keys), len(codes) - 1)
+            hit = codes[place] == keys
+            found += np.where(hit[:, None], weights[place], 0.0)
+            if not all_hot:
+                open_ = np.flatnonzero(~hit[where])
+                missed.append(_summed(owner[open_], keys[where[open_]], np.ones(len(open_), np.int64)))
+        sums += np.bincount(owner, found[where, folds[owner]], len(sizes))
+    owner, keys, counts = _summed(*map(np.concatenate, zip(*missed))) if missed else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(sizes))))).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (keys.view(np.int64), counts)]
     return sums, lists
+
+
+def _summed(owner: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text and key once, in order."""
+    by = np.lexsort((keys, owner))
+    owner, keys, counts = owner[by], keys[by], counts[by]
+    first = np.flatnonzero(np.concatenate(([len(keys) > 0], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))))
+    return owner[first], keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]

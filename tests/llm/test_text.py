@@ -268,6 +268,21 @@ def test_character_model_equals_its_definition(make_docs, monkeypatch, hot):
             assert not (text or "").strip()
 
 
+def test_long_texts_are_costed_in_parts():
+    rng = np.random.default_rng(3)
+    grams = [character_model.windows("".join(rng.choice(list("abc d"), n))) for n in (0, 1, 40, 300, 7)]
+    sizes, folds = np.array([len(g) for g in grams]), np.arange(5)
+    codes = np.unique(np.concatenate(grams))[::2]
+    weights = rng.integers(-9, 9, (len(codes), character_model.FOLDS)) / 4
+    cost = lambda chunk: character_model.text_costs(grams, sizes, folds, codes, weights, False, chunk)
+    (sums, (keys, counts)), (by_parts, (keys_by_parts, counts_by_parts)) = cost(10_000), cost(11)
+    assert (sums == by_parts).all() and keys.equals(keys_by_parts) and counts.equals(counts_by_parts)
+    lookups = lambda g: Counter(k for size in (1, 2, 3, 4) for k in character_model.shorter(g, size).view(np.int64).tolist())
+    at_hand = set(codes.view(np.int64).tolist())
+    for g, k, n in zip(grams, keys.to_pylist(), counts.to_pylist()):
+        assert dict(zip(k, n)) == {key: c for key, c in lookups(g).items() if key not in at_hand}
+
+
 def test_other_scripts_are_judged_by_their_characters(make_docs, spark):
     """Words of one length in another alphabet are other words: the model tells texts apart that share all classes."""
     rng = random.Random(6)
