@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -149,6 +150,32 @@ def test_suffix_array_and_prefixes():
                 assert shared[b] == k
 
 
+def test_suffix_array_of_many_symbols_is_made_by_arrays():
+    """Neither the text nor the string of its names is gone through entry by entry: the lines run do not grow with them."""
+    rng, lines = np.random.default_rng(5), [0]
+
+    def count(frame, event, arg):
+        if frame.f_code.co_filename != suffix_array.__code__.co_filename:
+            return None
+        lines[0] += event == "line"
+        return count
+
+    for top, period in [(25, 0), (5_000, 0), (5_000, 700)]:
+        text = rng.integers(1, top + 1, 6_000)
+        text[3_500:5_500] = text[500:2_500]  # repeats far longer than a string
+        if period:
+            text = np.tile(text[:period], 8)
+        lines[0], before = 0, sys.gettrace()
+        sys.settrace(count)
+        try:
+            order = suffix_array(text)
+        finally:
+            sys.settrace(before)
+        symbols = text.tolist()
+        assert order.tolist() == sorted(range(len(symbols)), key=lambda i: symbols[i:])
+        assert lines[0] < 10_000
+
+
 def brute_spans(texts: list[bytes], length: int):
     count = Counter(raw[i : i + length] for raw in texts for i in range(len(raw) - length + 1))
     found = []
